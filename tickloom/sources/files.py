@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tickloom.schemas import BAR_TABLE
 
@@ -58,7 +58,7 @@ def read_all_symbols(
         .option("pathGlobFilter", "*.csv")
     )
     if partitioned:
-        fields = StructType(schema.fields).add("stock", "string")
+        fields = StructType([*schema.fields, StructField("stock", StringType())])
         return reader.schema(fields).csv(folder).withColumnRenamed("stock", "Stock")
     bars = reader.schema(schema).csv(folder)
     return bars.withColumn("Stock", symbol_from_path(F.col("_metadata.file_path")))
