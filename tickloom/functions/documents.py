@@ -1,8 +1,8 @@
 """JSON expressions over text columns."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 QUOTE_PRICE_PATH = "$.chart.result[0].meta.regularMarketPrice"
 
@@ -42,16 +42,27 @@ def quote_price(document: Column) -> Column:
     return json_path(document, QUOTE_PRICE_PATH).try_cast("double")
 
 
-def json_default(document: Column, key: str, default: str | float) -> Column:
-    """Value under ``key`` or ``default`` when the key is absent; the default sets the type."""
-    value = json_path(document, f"$.{key}")
-    if isinstance(default, str):
-        return F.coalesce(value, F.lit(default))
-    return F.coalesce(value.try_cast("double"), F.lit(float(default)))
+def symbol_details(
+    details: DataFrame, symbol: Column, day: Column, document: Column, fields=DETAIL_FIELDS
+) -> DataFrame:
+    """The details row of each symbol: date, symbol and one column per field.
 
-
-def symbol_details(symbol: Column, day: Column, document: Column, fields=DETAIL_FIELDS) -> list[Column]:
-    """The details row of a symbol: date, symbol and one defaulted column per field."""
-    return [day.alias("Date"), symbol.alias("Symbol")] + [
-        json_default(document, key, default).alias(name) for name, key, default in fields
+    The document is parsed once for all fields. A missing key takes the field's default, which also sets
+    the column's type.
+    """
+    wanted = StructType(
+        [
+            StructField(key, StringType() if isinstance(default, str) else DoubleType())
+            for key, default in {key: default for _, key, default in fields}.items()
+        ]
+    )
+    parsed = details.select(
+        day.alias("Date"), symbol.alias("Symbol"), from_json(document, wanted).alias("__d")
+    )
+    values = [
+        F.coalesce(
+            F.col("__d").getField(key), F.lit(default if isinstance(default, str) else float(default))
+        ).alias(name)
+        for name, key, default in fields
     ]
+    return parsed.select("Date", "Symbol", *values)

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from tickloom.operators.bars import ohlc_bars
 from tickloom.operators.spread import (
     attach_per_key,
-    null_safe_join,
+    join_on_keys,
     ordered_chunks,
+    row_numbers,
     running_total,
 )
 from tickloom.schemas import PRICES
@@ -18,6 +19,9 @@ CHART_TYPES = ["Line Chart", "Area Chart", "Bar Chart"]
 CHART_SERIES = ["Close", "High", "Low"]
 MAX_POINTS = 1000
 
+# Upper limit of tasks that hand rows to the merge of ``first_rows``.
+FIRST_ROWS_TASKS = 20_000
+
 
 def symbol_series(df: DataFrame, symbol: str, column: str = "Close", date: str = "Date", key: str = "stock") -> DataFrame:
     """(date, value) of one symbol; sort it where it is shown."""
@@ -52,8 +56,12 @@ def candles(ticks: DataFrame, symbol: str, interval: str = "1 day") -> DataFrame
 
 
 def first_rows(df: DataFrame, order: list[str], n: int = MAX_POINTS) -> DataFrame:
-    """The first ``n`` rows in a stated order; every task keeps at most ``n``."""
-    return df.orderBy(*order).limit(n)
+    """The first ``n`` rows in a stated order.
+
+    Every task keeps its first ``n`` and one task merges them; the number of tasks is bounded, so what it
+    merges does not grow with the data.
+    """
+    return df.coalesce(FIRST_ROWS_TASKS).orderBy(*order).limit(n)
 
 
 def mean_per_x(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -63,7 +71,7 @@ def mean_per_x(df: DataFrame, x: str, y: str) -> DataFrame:
 
 def stride_sample(df: DataFrame, keys: list[str], order: list[str], max_points: int = MAX_POINTS) -> DataFrame:
     """Every ``step``-th row per key, step = max(1, rows div max_points)."""
-    numbered = running_total(ordered_chunks(df, keys, order), keys, order, None, "__rn", "__n")
+    numbered = row_numbers(df, keys, order, "__rn", "__n")
     step = F.greatest(F.lit(1), F.expr(f"__n div {max_points}"))
     return numbered.filter((F.col("__rn") - 1) % step == 0).drop("__rn", "__n")
 
@@ -80,7 +88,7 @@ def box_summary(df: DataFrame, keys: list[str], value: str, whisker: float = 1.5
         .agg(F.count("*").alias("__c"))
     )
     chunked = ordered_chunks(counted, keys, ["__v"])
-    ranked = running_total(chunked, keys, ["__v"], F.col("__c"), "__upto", "n")
+    ranked = running_total(chunked, keys, "__c", "__upto", "n")
 
     quartiles = {"q1": 0.25, "median": 0.5, "q3": 0.75}
     around = []
@@ -113,7 +121,7 @@ def box_summary(df: DataFrame, keys: list[str], value: str, whisker: float = 1.5
             F.sum(F.when(inside, 0).otherwise(F.col("__c"))).alias("outliers"),
         )
     )
-    return null_safe_join(boxes, whiskers, keys)
+    return join_on_keys(boxes, whiskers, keys)
 
 
 def relative_returns(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:

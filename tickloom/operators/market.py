@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.times import market_open
-from tickloom.sources.ranges import symbol_list
+from tickloom.sources.ranges import of_symbols, symbol_list
 
 BAR_MEASURES = ["open", "high", "low", "close", "volume"]
 
@@ -29,6 +29,15 @@ def heartbeats(times: DataFrame, symbols: str | None, ts: str = "ts", **session)
     )
 
 
+def live_or_heartbeat(
+    bars: DataFrame, polls: DataFrame, symbols: str | None, ts: str = "bar_start", **session
+) -> DataFrame:
+    """Bars of the listed symbols while the market is open, heartbeats at the polls while it is closed."""
+    live = of_symbols(bars, symbols).filter(market_open(F.col(ts), **session))
+    live = live.select("stock", F.col(ts).alias("date"), *BAR_MEASURES)
+    return live.unionByName(heartbeats(polls, symbols, ts, **session))
+
+
 def has_rows(df: DataFrame, symbol: str | Column, key: str = "stock") -> bool:
     """Whether a symbol has any row; reads no more than needed to find one."""
     return not df.filter(F.col(key) == symbol).isEmpty()

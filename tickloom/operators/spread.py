@@ -5,9 +5,6 @@ Rows are range-partitioned on (keys, order) instead: a hot symbol spans many par
 small row per (key, partition) is combined across them.
 """
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,11 +16,16 @@ BROADCAST_ROWS = 100_000
 ROWS_PER_SLICE = 5_000_000
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+def key_of(keys: list[str]) -> Column:
+    """The key columns as one value: as a struct, a null in a key equals another null."""
+    return F.struct(*keys)
+
+
+def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Equi-join on ``keys`` where null matches null; keeps the left key columns once."""
-    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
-    condition = reduce(and_, [left[k].eqNullSafe(renamed[f"__r_{k}"]) for k in keys])
-    return left.join(renamed, condition, how).drop(*[f"__r_{k}" for k in keys])
+    left = left.withColumn("__key", key_of(keys))
+    right = right.withColumn("__key", key_of(keys)).drop(*keys)
+    return left.join(right, "__key", how).drop("__key")
 
 
 def attach_per_key(
@@ -42,62 +44,90 @@ def attach_per_key(
     """
     per_key = materialise(per_key, "per-key")
     if per_key.count() <= broadcast_rows:
-        return null_safe_join(rows, F.broadcast(per_key), keys)
+        return join_on_keys(rows, F.broadcast(per_key), keys)
 
     slices = F.ceil(F.col(count_col) / F.lit(rows_per_slice)).cast("int")
     hot = per_key.filter(F.col(count_col) > rows_per_slice).select(*keys, slices.alias("__slices"))
     if hot.count() <= broadcast_rows:
         hot = F.broadcast(hot)
     salt = F.pmod(F.xxhash64(*rows.columns), F.coalesce("__slices", F.lit(1))).cast("int")
-    salted = null_safe_join(rows, hot, keys).withColumn("__salt", salt).drop("__slices")
+    salted = join_on_keys(rows, hot, keys).withColumn("__salt", salt).drop("__slices")
     copies = per_key.withColumn(
         "__salt", F.explode(F.sequence(F.lit(0), F.greatest(slices, F.lit(1)) - 1))
     )
-    return null_safe_join(salted, copies, keys + ["__salt"]).drop("__salt")
+    return join_on_keys(salted, copies, keys + ["__salt"]).drop("__salt")
 
 
 def ordered_chunks(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """``df`` range-partitioned on (keys, order), with the partition number as ``__chunk``.
+    """``df`` in order over all partitions: ``__chunk`` is the partition, ``__pos`` grows inside it.
 
     Written once, because recomputing a range shuffle may choose other bounds. ``keys + order`` must
     identify a row.
     """
-    ranged = df.repartitionByRange(*keys, *order)
-    return materialise(ranged.withColumn("__chunk", F.spark_partition_id()), "ordered")
+    ranged = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    placed = ranged.withColumns(
+        {"__chunk": F.spark_partition_id(), "__pos": F.monotonically_increasing_id()}
+    )
+    return materialise(placed, "ordered")
+
+
+def _before(chunks: DataFrame, keys: list[str], total: str, whole: str) -> DataFrame:
+    """Per (key, chunk): the sum over the key's earlier chunks and over all of them.
+
+    The windows see one row per key and partition, however many rows the key has.
+    """
+    per_key = Window.partitionBy(*keys)
+    earlier = per_key.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    return chunks.withColumns(
+        {
+            "__offset": F.coalesce(F.sum(total).over(earlier), F.lit(0)),
+            whole: F.sum(total).over(per_key),
+        }
+    )
+
+
+def row_numbers(
+    df: DataFrame, keys: list[str], order: list[str], name: str = "row", whole: str = "rows"
+) -> DataFrame:
+    """Number the rows of each key in ``order`` from 1, and add the key's row count.
+
+    One range shuffle; numbers follow from positions inside the partitions, without a window over rows.
+    """
+    chunked = ordered_chunks(df, keys, order)
+    chunks = chunked.groupBy(*keys, "__chunk").agg(
+        F.min("__pos").alias("__first"), F.count("*").alias("__rows")
+    )
+    placed = _before(chunks, keys, "__rows", whole)
+    joined = attach_per_key(chunked, placed, keys + ["__chunk"], "__rows")
+    number = F.col("__offset") + F.col("__pos") - F.col("__first") + 1
+    return joined.withColumn(name, number).drop("__chunk", "__pos", "__first", "__rows", "__offset")
 
 
 def running_total(
     chunked: DataFrame,
     keys: list[str],
-    order: list[str],
-    weight: Column | None = None,
+    weight: str,
     name: str = "running_total",
     whole: str = "whole_total",
 ) -> DataFrame:
-    """Inclusive running sum of ``weight`` (default 1, i.e. the row number) per key, and the key's total.
+    """Inclusive running sum of a whole-number ``weight`` per key, and the key's total.
 
-    ``chunked`` comes from ``ordered_chunks``. Rows are summed inside their chunk; chunks are put in line
-    by a table with one row per key and chunk.
+    ``chunked`` comes from ``ordered_chunks``. Rows are summed inside their chunk, whose size the range
+    shuffle bounds.
     """
-    weight = F.lit(1) if weight is None else weight
-    rows = chunked.withColumn("__w", weight.cast("bigint"))
-    totals = rows.groupBy(*keys, "__chunk").agg(F.sum("__w").alias("__total"))
-    per_key = Window.partitionBy(*keys)
-    before = per_key.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *keys,
-        "__chunk",
-        F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__offset"),
-        F.sum("__total").over(per_key).alias(whole),
+    chunks = chunked.groupBy(*keys, "__chunk").agg(
+        F.sum(weight).alias("__total"), F.count("*").alias("__rows")
     )
+    placed = _before(chunks, keys, "__total", whole)
     inside = (
         Window.partitionBy(*keys, "__chunk")
-        .orderBy(*order)
+        .orderBy("__pos")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    joined = null_safe_join(rows, offsets, keys + ["__chunk"])
-    return joined.withColumn(name, F.col("__offset") + F.sum("__w").over(inside)).drop(
-        "__w", "__chunk", "__offset"
+    summed = chunked.withColumn("__inside", F.sum(weight).over(inside))
+    joined = attach_per_key(summed, placed, keys + ["__chunk"], "__rows")
+    return joined.withColumn(name, F.col("__offset") + F.col("__inside")).drop(
+        "__chunk", "__pos", "__inside", "__total", "__rows", "__offset"
     )
 
 
@@ -105,20 +135,19 @@ def following(df: DataFrame, keys: list[str], order: str, chunk: Column, value:
     """``value`` of the next row per key, like ``lead``, in chunks (e.g. days) of bounded size.
 
     ``chunk`` must grow with ``order``. Rows meet only inside their chunk; the last row of a chunk takes
-    the first value of the key's next chunk, from a table with one row per (key, chunk).
+    the first value of the key's next chunk, from a table with one row per (key, chunk). Window and join
+    share one partitioning, so ``df`` is shuffled once.
     """
     df = df.withColumn("__chunk", chunk)
+    df = df.withColumn("__key", key_of([*keys, "__chunk"]))
     boxed = F.struct(F.col(value).alias("v"))
-    inside = df.withColumn(
-        "__next", F.lead(boxed).over(Window.partitionBy(*keys, "__chunk").orderBy(order))
-    )
+    inside = df.withColumn("__next", F.lead(boxed).over(Window.partitionBy("__key").orderBy(order)))
     first = df.groupBy(*keys, "__chunk").agg(F.min_by(value, order).alias("v"))
+    next_first = F.lead(F.struct("v")).over(Window.partitionBy(*keys).orderBy("__chunk"))
     across = first.select(
-        *keys,
-        "__chunk",
-        F.lead(F.struct("v")).over(Window.partitionBy(*keys).orderBy("__chunk")).alias("__across"),
+        key_of([*keys, "__chunk"]).alias("__key"), next_first.alias("__across")
     )
-    joined = null_safe_join(inside, across, keys + ["__chunk"])
+    joined = inside.join(across, "__key", "left")
     return joined.withColumn(name, F.coalesce("__next", "__across")["v"]).drop(
-        "__chunk", "__next", "__across"
+        "__key", "__chunk", "__next", "__across"
     )

@@ -3,8 +3,13 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.functions.documents import DETAIL_FIELDS, json_path, quote_price, symbol_details
-from tickloom.functions.documents import to_json
+from tickloom.functions.documents import (
+    DETAIL_FIELDS,
+    json_path,
+    quote_price,
+    symbol_details,
+    to_json,
+)
 from tickloom.functions.texts import csv_line, quote_url as url_of, to_bytes, to_text
 from tickloom.functions.times import (
     clock_text,
@@ -16,10 +21,10 @@ from tickloom.functions.times import (
     session_date,
 )
 from tickloom.operators import charts, clean, messages
-from tickloom.operators.market import heartbeats
+from tickloom.operators.market import heartbeats, live_or_heartbeat
 from tickloom.plans.registry import query
 from tickloom.plans.stores import quote_document
-from tickloom.plans.tables import FEED, SESSION, TICKS, feed, feed_table, ticks
+from tickloom.plans.tables import FEED, SESSION, TICKS, bars, feed, feed_table, table, ticks
 from tickloom.schemas import FEATURES, LABEL, MEASURES
 
 PRICE_COLUMNS = '"Date", "Open", "High", "Low", "Close"'
@@ -151,6 +156,23 @@ def closed_heartbeat_rows(spark: SparkSession, folder: str) -> DataFrame:
     return heartbeats(hours, "AAPL,MSFT,GOOGL")
 
 
+@query(
+    FEED
+    + f""",
+closed AS (SELECT DISTINCT bar_start FROM bars WHERE NOT {SESSION.format(t='bar_start')})
+SELECT stock, bar_start AS date, open, high, low, close, volume FROM bars
+WHERE {SESSION.format(t='bar_start')} AND stock IN ('click', 'view')
+UNION ALL
+SELECT s.stock, bar_start, NULL, NULL, NULL, NULL, NULL
+FROM closed, (SELECT unnest(string_split('click,view', ',')) AS stock) s"""
+)
+def live_or_heartbeat_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """What a poller sends: bars of the listed symbols while open, a null row for each while closed."""
+    rows = bars(spark, folder)
+    closed_polls = rows.select("bar_start").distinct()
+    return live_or_heartbeat(rows, closed_polls, "click,view")
+
+
 @query(
     FEED
     + """ SELECT stock, "Date" AS date, "Open" AS open, "High" AS high, "Low" AS low, "Close" AS close,
@@ -213,7 +235,7 @@ def symbol_details_defaults(spark: SparkSession, folder: str) -> DataFrame:
     """The supplied documents hold one key, read as the market value; the other fields take defaults."""
     fields = [(n, "k" if n == "MarketCap" else key, d) for n, key, d in DETAIL_FIELDS]
     rows = ticks(spark, folder)
-    return rows.select(*symbol_details(F.col("stock"), day_text(F.col("ts")), F.col("props"), fields))
+    return symbol_details(rows, F.col("stock"), day_text(F.col("ts")), F.col("props"), fields)
 
 
 @query(TICKS + " SELECT event_id, json_extract_string(props, '$.k') AS k FROM ticks")
@@ -248,8 +270,6 @@ def quote_url(spark: SparkSession, folder: str) -> DataFrame:
     """SELECT page_id, url AS text, CAST(strlen(html) AS BIGINT) AS n_bytes FROM pages"""
 )
 def message_bytes_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    from tickloom.plans.tables import table
-
     return table(spark, folder, "pages").select(
         "page_id",
         to_text(to_bytes(F.col("url"))).alias("text"),

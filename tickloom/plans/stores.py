@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from tickloom.functions.times import iso_text, parse_time
 from tickloom.operators.bars import ohlc_bars
 from tickloom.operators.messages import bar_to_message, to_messages, to_text_messages
+from tickloom.operators.updates import history_then_live
 from tickloom.plans.registry import query
-from tickloom.plans.tables import FEED, TICKS, bars_sql, feed_table, ticks
+from tickloom.plans.tables import FEED, TICKS, bars, bars_sql, feed_table, ticks
 from tickloom.schemas import QUOTE_DOCUMENT, TICK_TABLE
 from tickloom.sinks.files import (
     append_bars_by_symbol,
@@ -107,15 +108,10 @@ def sink_csv_table(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     TICKS
     + bars_sql("1 hour")
-    + """,
-keyed AS (SELECT DISTINCT * FROM bars)
-SELECT * FROM keyed"""
+    + " SELECT * FROM bars"
 )
 def history_plus_live(spark: SparkSession, folder: str) -> DataFrame:
     """A backfill and a live part that overlap by a day: every bar once."""
-    from tickloom.operators.updates import history_then_live
-    from tickloom.plans.tables import bars
-
     rows = bars(spark, folder)
     end = latest_time(ticks(spark, folder))
     day = F.expr("INTERVAL 1 DAY")

@@ -18,8 +18,12 @@ def working_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def application_root(spark: SparkSession) -> str:
+    return f"{working_root(spark)}/tickloom/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{working_root(spark)}/tickloom/{label}-{uuid.uuid4().hex}"
+    return f"{application_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:
@@ -31,3 +35,10 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; results that read them become unusable."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(application_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
