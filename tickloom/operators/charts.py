@@ -69,11 +69,29 @@ def mean_per_x(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.groupBy(x).agg(F.avg(y).alias(y))
 
 
-def stride_sample(df: DataFrame, keys: list[str], order: list[str], max_points: int = MAX_POINTS) -> DataFrame:
-    """Every ``step``-th row per key, step = max(1, rows div max_points)."""
-    numbered = row_numbers(df, keys, order, "__rn", "__n")
+def stride_sample(
+    df: DataFrame, keys: list[str], order: list[str], max_points: int = MAX_POINTS, bucket_seconds: int = 60
+) -> DataFrame:
+    """Every ``step``-th row per key, step = max(1, rows div max_points). ``order[0]`` is a timestamp.
+
+    Rows are first only counted per key and time bucket. The running count tells which buckets hold a
+    wanted position; just their rows are then put in order, so the table as a whole is never shuffled.
+    """
+    micros = F.unix_micros(F.col(order[0]).cast("timestamp"))
+    bucketed = df.withColumn("__bucket", F.floor(micros / F.lit(bucket_seconds * 1_000_000)))
+    buckets = [*keys, "__bucket"]
+    counted = bucketed.groupBy(*buckets).agg(F.count("*").alias("__c"))
+    ranked = running_total(ordered_chunks(counted, keys, ["__bucket"]), keys, "__c", "__upto", "__n")
+    first = F.col("__upto") - F.col("__c")
     step = F.greatest(F.lit(1), F.expr(f"__n div {max_points}"))
-    return numbered.filter((F.col("__rn") - 1) % step == 0).drop("__rn", "__n")
+    wanted = ranked.select(*buckets, "__c", first.alias("__before"), step.alias("__step")).filter(
+        F.ceil(F.col("__before") / F.col("__step")) * F.col("__step") < F.col("__before") + F.col("__c")
+    )
+    inside = attach_per_key(bucketed, wanted, buckets, "__c", how="inner").drop("__c")
+    # Written before sorting: a range shuffle evaluates its input twice, and this input is a full scan.
+    numbered = row_numbers(materialise(inside, "wanted"), buckets, order, "__rn", "__rows")
+    position = F.col("__before") + F.col("__rn") - 1
+    return numbered.filter(position % F.col("__step") == 0).select(*df.columns)
 
 
 def box_summary(df: DataFrame, keys: list[str], value: str, whisker: float = 1.5) -> DataFrame:

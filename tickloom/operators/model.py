@@ -162,8 +162,12 @@ def next_close(bars: DataFrame, symbol: str = "stock", time: str = "bar_start",
 
 
 def split_by_time(df: DataFrame, share: float, time: str) -> tuple[DataFrame, DataFrame]:
-    """Earlier rows train, later rows test; the cut lies at ``share`` of the covered time."""
+    """Earlier rows train, later rows test; the cut lies at ``share`` of the covered time.
+
+    The cut is a scalar of the column's own type, so the comparison reaches the file scan.
+    """
     seconds = F.unix_seconds(F.col(time).cast("timestamp"))
     ends = df.agg(F.min(seconds).alias("lo"), F.max(seconds).alias("hi"))
-    cut = ends.select(F.floor(F.col("lo") + (F.col("hi") - F.col("lo")) * share)).scalar()
-    return df.filter(seconds < cut), df.filter(seconds >= cut)
+    at = F.timestamp_seconds(F.floor(F.col("lo") + (F.col("hi") - F.col("lo")) * share))
+    cut = ends.select(at.cast(df.schema[time].dataType)).scalar()
+    return df.filter(F.col(time) < cut), df.filter(F.col(time) >= cut)

@@ -35,16 +35,19 @@ def attach_per_key(
     count_col: str,
     broadcast_rows: int = BROADCAST_ROWS,
     rows_per_slice: int = ROWS_PER_SLICE,
+    how: str = "left",
 ) -> DataFrame:
     """Add the columns of ``per_key`` (one row per key, ``count_col`` = rows of that key) to ``rows``.
 
+    ``how="inner"`` keeps only rows whose key is listed.
+
     The table is written first, so its size is known: small ones are broadcast. Otherwise only the hot
     keys are salted, each in proportion to its row count. The list of hot keys is itself broadcast only
     when it passes the same size check.
     """
     per_key = materialise(per_key, "per-key")
     if per_key.count() <= broadcast_rows:
-        return join_on_keys(rows, F.broadcast(per_key), keys)
+        return join_on_keys(rows, F.broadcast(per_key), keys, how)
 
     slices = F.ceil(F.col(count_col) / F.lit(rows_per_slice)).cast("int")
     hot = per_key.filter(F.col(count_col) > rows_per_slice).select(*keys, slices.alias("__slices"))
@@ -55,7 +58,7 @@ def attach_per_key(
     copies = per_key.withColumn(
         "__salt", F.explode(F.sequence(F.lit(0), F.greatest(slices, F.lit(1)) - 1))
     )
-    return join_on_keys(salted, copies, keys + ["__salt"]).drop("__salt")
+    return join_on_keys(salted, copies, keys + ["__salt"], how).drop("__salt")
 
 
 def ordered_chunks(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -1,6 +1,7 @@
 """Publishing keyed messages."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
 
 
 def publish_files(messages: DataFrame, folder: str) -> None:
@@ -17,3 +18,18 @@ def publish_kafka(messages: DataFrame, servers: str, topic: str) -> None:
         .option("topic", topic)
         .save()
     )
+
+
+def publish_kafka_stream(
+    messages: DataFrame, servers: str, topic: str, checkpoint: str, every: str = "10 seconds"
+) -> StreamingQuery:
+    """Send a stream of (key, value) messages to a topic at a fixed interval."""
+    return (
+        messages.select("key", "value")
+        .writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+        .trigger(processingTime=every)
+        .start()
+    )
