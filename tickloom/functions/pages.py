@@ -6,7 +6,6 @@ comments, with character references decoded.
 """
 
 import re
-from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -69,115 +68,78 @@ def markup(html: Column) -> Column:
     return F.regexp_replace(html, _NOT_MARKUP, "")
 
 
+def tag_pieces(page: Column, tag: str) -> Column:
+    """``markup(html)`` cut before every opening and closing tag of one name."""
+    return F.split(page, rf"(?i)(?=</?{tag}[\s/>])")
+
+
 def _opening(tag: str, class_: str | None) -> str:
     """Pattern of an opening tag; a class with a space must equal the attribute, a plain one be in its list."""
     if class_ is None:
-        return rf"<{tag}(?=[\s/>])[^>]*>"
-    name = re.escape(class_)
-    inner = name if " " in class_ else rf"(?:[^{{q}}]*\s)?{name}(?:\s[^{{q}}]*)?"
-    values = [q + inner.replace("{q}", q) + q for q in ('"', "'")]
-    if " " not in class_:
+        return rf"<{tag}[\s/>]"
+    name = re.escape(class_).replace("'", r"\x27")
+    whole = " " in class_
+    values = []
+    for quote in ('"', r"\x27"):
+        inner = name if whole else rf"(?:[^{quote}]*\s)?{name}(?:\s[^{quote}]*)?"
+        values.append(quote + inner + quote)
+    if not whole:
         values.append(rf"{name}(?=[\s>])")
-    return rf"<{tag}\s(?:[^>]*?\s)?class\s*=\s*(?:{'|'.join(values)})[^>]*>"
+    return rf"<{tag}\s(?:[^>]*?\s)?class\s*=\s*(?:{'|'.join(values)})"
 
 
-def _code_point(number: Column) -> Column:
-    valid = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
-    utf32 = F.unhex(F.lpad(F.hex(F.when(valid, number).otherwise(F.lit(0xFFFD))), 8, "0"))
-    return F.decode(utf32, "UTF-32")
+# The expressions below nest higher-order functions, so they are written as SQL text. ``transform(array(x),
+# v -> …)[0]`` binds x to v, which evaluates it once however often v is used.
 
 
-def _decode_reference(token: Column) -> Column:
-    names = F.create_map(*[F.lit(x) for pair in NAMED_REFERENCES.items() for x in pair])
-    hexadecimal = F.regexp_extract(token, "^&#[xX]([0-9a-fA-F]{1,8});$", 1)
-    decimal = F.regexp_extract(token, "^&#([0-9]{1,9});$", 1)
-    return (
-        F.when(~token.startswith("&"), token)
-        .when(hexadecimal != "", _code_point(F.conv(hexadecimal, 16, 10).cast("bigint")))
-        .when(decimal != "", _code_point(decimal.try_cast("bigint")))
-        .otherwise(F.coalesce(F.try_element_at(names, token), token))
-    )
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def decode_references(text: Column) -> Column:
-    """Decode each character reference exactly once, left to right."""
-    tokens = F.regexp_extract_all(text, F.lit("(?s)(&#?[0-9a-zA-Z]{1,32};|[^&]+|&)"), F.lit(1))
-    decoded = F.array_join(F.transform(tokens, _decode_reference), "")
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+def _code_point(number: str) -> str:
+    valid = f"{number} BETWEEN 1 AND 1114111 AND NOT {number} BETWEEN 55296 AND 57343"
+    return f"decode(unhex(lpad(hex(if({valid}, {number}, 65533)), 8, '0')), 'UTF-32')"
 
 
-def strip_tags(html: Column) -> Column:
-    return _let(F.regexp_replace(html, r"<[/!?a-zA-Z][^>]*>", ""), decode_references)
+def _decoded(text: str) -> str:
+    names = ", ".join(f"{_quoted(k)}, {_quoted(v)}" for k, v in NAMED_REFERENCES.items())
+    hexadecimal = "CAST(conv(substring(k, 4, length(k) - 4), 16, 10) AS BIGINT)"
+    decimal = "CAST(substring(k, 3, length(k) - 3) AS BIGINT)"
+    token = f"""CASE
+      WHEN NOT startswith(k, '&') THEN k
+      WHEN k RLIKE r'^&#[xX][0-9a-fA-F]{{1,8}};$' THEN {_code_point(hexadecimal)}
+      WHEN k RLIKE r'^&#[0-9]{{1,9}};$' THEN {_code_point(decimal)}
+      ELSE coalesce(try_element_at(map({names}), k), k) END"""
+    tokens = f"regexp_extract_all({text}, r'(?s)(&#?[0-9a-zA-Z]{{1,32}};|[^&]+|&)', 1)"
+    return f"if(contains({text}, '&'), array_join(transform({tokens}, k -> {token}), ''), {text})"
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it several times inside a higher-order expression."""
-    return F.transform(F.array(value), body)[0]
+def _plain(markup_text: str) -> str:
+    """Markup to text: without tags, each character reference decoded exactly once."""
+    stripped = f"regexp_replace({markup_text}, r'<[/!?a-zA-Z][^>]*>', '')"
+    return f"transform(array({stripped}), t -> {_decoded('t')})[0]"
 
 
-def _balanced(pieces: Column, tag: str) -> Column:
-    """Number of pieces up to the closing tag that balances the first one, 0 if it stays open.
+def element_texts(pieces: str, tag: str, class_: str | None, first: int) -> Column:
+    """Texts of the first so many matching elements, in page order.
 
-    Every piece begins with an opening or closing tag of this name.
+    ``pieces`` names a column made by ``tag_pieces`` for the same tag. An element runs from its opening
+    piece to the closing tag that balances it, or to the end of the page.
     """
-    closing = rf"(?i)^</{tag}[\s/>]"
-    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("seen"), F.lit(0).alias("end"))
-
-    def step(state: Column, piece: Column) -> Column:
-        depth = state["depth"] + F.when(F.regexp_like(piece, F.lit(closing)), -1).otherwise(1)
-        done = (state["end"] == 0) & (depth == 0)
-        return F.struct(
-            depth.alias("depth"),
-            (state["seen"] + 1).alias("seen"),
-            F.when(done, state["seen"]).otherwise(state["end"]).alias("end"),
-        )
-
-    return F.aggregate(pieces, start, step)["end"]
-
-
-def _content(fragment: Column, tag: str, if_open: Callable[[Column], Column]) -> Column:
-    """Markup of the element a fragment begins with; ``if_open`` decides when its end is missing."""
-    pieces = F.split(fragment, rf"(?i)(?=</?{tag}[\s/>])")
-    return _let(
-        pieces,
-        lambda p: _let(
-            _balanced(p, tag),
-            lambda end: F.when(end > 0, F.array_join(F.slice(p, F.lit(1), end), "")).otherwise(
-                if_open(fragment)
-            ),
-        ),
+    depth = "a.depth + if(startswith(x, '</'), -1, 1)"
+    balanced = f"""aggregate(s, named_struct('depth', 0, 'seen', 0, 'end', 0),
+      (a, x) -> named_struct('depth', {depth}, 'seen', a.seen + 1,
+                             'end', if(a.end = 0 AND {depth} = 0, a.seen, a.end)),
+      a -> a.end)"""
+    inner = "array_join(if(e > 0, slice(s, 1, e), s), '')"
+    text = f"transform(array({balanced}), e -> {_plain(inner)})[0]"
+    matches = f"filter(sequence(1, size({pieces})), i -> {pieces}[i - 1] RLIKE r'(?i)^{_opening(tag, class_)}')"
+    return F.expr(
+        f"""transform(slice({matches}, 1, {first}),
+              i -> transform(array(slice({pieces}, i, size({pieces}))), s -> {text})[0])"""
     )
 
 
-def element_texts(
-    page: Column, tag: str = "div", class_: str | None = None, first: int | None = None
-) -> Column:
-    """Texts of all (or the ``first`` so many) matching elements in page order, from ``markup(html)``."""
-    opening = _opening(tag, class_)
-    # Each segment begins with a matching opening tag; the part before the first one is dropped.
-    segments = F.filter(
-        F.split(page, f"(?i)(?={opening})", -1 if first is None else first + 2),
-        lambda s: F.regexp_like(s, F.lit(f"(?i)^{opening}")),
-    )
-
-    def texts(segs: Column) -> Column:
-        # A matching element nested in this one cuts its segment short: go on to the end of the page.
-        def to_page_end(index: Column) -> Column:
-            rest = F.array_join(F.slice(segs, index + 1, F.size(segs)), "")
-            return _let(rest, lambda r: _content(r, tag, lambda unclosed: unclosed))
-
-        wanted = segs if first is None else F.slice(segs, 1, first)
-        return F.transform(
-            wanted, lambda s, i: strip_tags(_content(s, tag, lambda _: to_page_end(i)))
-        )
-
-    if class_ is not None:
-        # Cheap test that spares most pages the pattern search.
-        none = F.array().cast("array<string>")
-        segments = F.when(F.contains(page, F.lit(class_)), segments).otherwise(none)
-    return _let(segments, texts)
-
-
 def nth_text(texts: Column, index: int, default: str | None = NO_DATA) -> Column:
     """Text at a position counted from 0, or the default when there are fewer elements."""
     return F.coalesce(F.try_element_at(texts, F.lit(index + 1)), F.lit(default))

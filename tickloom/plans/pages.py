@@ -69,15 +69,14 @@ def html_paired_fields(spark: SparkSession, folder: str) -> DataFrame:
 
 # Elements of the supplied pages that stand in for the parts of a company page.
 _STAND_INS = [
-    (r'<div class="ad">', '<div class="YMlKec fxKbKc">'),
-    (r"<a [^>]*>", '<div class="x P6K39c">'),
-    (r"</a>", "</div>"),
-    (r"<article>", '<div class="bLLb2d">'),
-    (r"</article>", "</div>"),
-    (r"<h1>", '<div class="sfyJob">'),
-    (r"</h1>", "</div>"),
-    (r"<title>", '<div class="Yfwt5">'),
-    (r"</title>", "</div>"),
+    ('<div class="ad">', '<div class="YMlKec fxKbKc">'),
+    ("</a>", "</div>"),
+    ("<article>", '<div class="bLLb2d">'),
+    ("</article>", "</div>"),
+    ("<h1>", '<div class="sfyJob">'),
+    ("</h1>", "</div>"),
+    ("<title>", '<div class="Yfwt5">'),
+    ("</title>", "</div>"),
 ]
 
 
@@ -93,6 +92,7 @@ FROM c"""
 def html_profile(spark: SparkSession, folder: str) -> DataFrame:
     """The company profile over whole pages whose elements were renamed to those of a company page."""
     html = F.col("html")
-    for pattern, markup in _STAND_INS:
-        html = F.regexp_replace(html, pattern, markup)
+    for old, new in _STAND_INS:
+        html = F.replace(html, F.lit(old), F.lit(new))
+    html = F.regexp_replace(html, "<a [^>]*>", '<div class="x P6K39c">')
     return company_profile(table(spark, folder, "pages").select("page_id", html.alias("html")))
