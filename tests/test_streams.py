@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators import messages
+from tickloom.operators.updates import drop_resent, last_per_key
 from tickloom.sinks.messages import publish_files, publish_kafka
 from tickloom.sources.files import read_all_symbols
 from tickloom.sources.streams import BAR_TOPIC, file_messages, kafka_messages, kafka_options
@@ -51,6 +52,43 @@ def test_latest_follows_new_rows(spark, tmp_path):
     assert run("2024-01-03", 1) == [("A", "2024-01-03T10:00", 0.0), ("B", "2024-01-02T10:03", 3.0)]
 
 
+def test_resent_rows_are_dropped_over_batches(spark, tmp_path):
+    folder, store, progress = (str(tmp_path / n) for n in ("rows", "kept", "progress"))
+
+    def run(rows):
+        rows.write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(rows.schema).parquet(folder)
+        kept = drop_resent(stream, ["stock", "id"], "ts")
+        ingest.append_table(kept, store, progress, available_now=True).awaitTermination()
+        return sorted((r["stock"], r["id"]) for r in spark.read.parquet(store).collect())
+
+    def rows(first, last, copies):
+        ids = spark.range(first, last).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+        return ids.select(F.lit("A").alias("stock"), "id", F.timestamp_seconds(F.col("id") + 1).alias("ts"))
+
+    assert run(rows(0, 5, 40)) == [("A", i) for i in range(5)]
+    assert run(rows(0, 8, 3)) == [("A", i) for i in range(8)]
+
+
+def test_live_bars_grow_with_later_ticks(spark, tmp_path):
+    folder, topic, progress = (str(tmp_path / n) for n in ("ticks", "bars", "progress"))
+
+    def run(ticks):
+        df = spark.createDataFrame(ticks, "stock string, ts string, event_id long, price double")
+        df = df.withColumn("ts", F.col("ts").cast("timestamp"))
+        df.coalesce(1).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(df.schema).parquet(folder)
+        ingest.publish_live_bars(stream, topic, progress, available_now=True).awaitTermination()
+        parsed = messages.parse_messages(spark.read.parquet(topic), keep=["batch"])
+        return {(r["date"], r["open"], r["close"], r["volume"]) for r in last_per_key(parsed, ["stock", "date"], ["batch"]).collect()}
+
+    assert run([("A", "2024-01-02 10:00:10", 1, 5.0)]) == {("2024-01-02T10:00:00", 5.0, 5.0, 1.0)}
+    assert run([("A", "2024-01-02 10:01:10", 2, 7.0), ("A", "2024-01-02 10:02:00", 3, 8.0)]) == {
+        ("2024-01-02T10:00:00", 5.0, 7.0, 2.0),
+        ("2024-01-02T10:02:00", 8.0, 8.0, 1.0),
+    }
+
+
 def test_broker_options_and_missing_connector(spark):
     options = kafka_options("host:9092", BAR_TOPIC, "readers")
     assert options["subscribe"] == "stock_prices" and options["startingOffsets"] == "earliest"

@@ -24,9 +24,10 @@ def to_text_messages(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.select(F.col(key).alias("key"), F.col(value).cast("string").alias("value"))
 
 
-def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Message fields beside the raw text; unreadable text has no ``stock``."""
-    return messages.withColumn("__m", from_json(F.col(value), BAR_MESSAGE)).select(value, "__m.*")
+def parse_messages(messages: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
+    """Message fields beside the raw text (and columns to keep); unreadable text has no ``stock``."""
+    parsed = messages.withColumn("__m", from_json(F.col(value), BAR_MESSAGE))
+    return parsed.select(value, *(keep or []), "__m.*")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

@@ -53,7 +53,9 @@ def attach_per_key(
     hot = per_key.filter(F.col(count_col) > rows_per_slice).select(*keys, slices.alias("__slices"))
     if hot.count() <= broadcast_rows:
         hot = F.broadcast(hot)
-    salt = F.pmod(F.xxhash64(*rows.columns), F.coalesce("__slices", F.lit(1))).cast("int")
+    # The partition number also spreads exact copies of a row, and stays the same when a task is re-run.
+    spread = F.xxhash64(*rows.columns) + F.spark_partition_id()
+    salt = F.pmod(spread, F.coalesce("__slices", F.lit(1))).cast("int")
     salted = join_on_keys(rows, hot, keys).withColumn("__salt", salt).drop("__slices")
     copies = per_key.withColumn(
         "__salt", F.explode(F.sequence(F.lit(0), F.greatest(slices, F.lit(1)) - 1))
@@ -64,14 +66,15 @@ def attach_per_key(
 def ordered_chunks(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """``df`` in order over all partitions: ``__chunk`` is the partition, ``__pos`` grows inside it.
 
-    Written once, because recomputing a range shuffle may choose other bounds. ``keys + order`` must
-    identify a row.
+    Written once, because recomputing a range shuffle may choose other bounds. ``keys + order`` should
+    identify a row; should there be many rows with equal values, the partition they come from parts them.
     """
-    ranged = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
-    placed = ranged.withColumns(
+    by = [*keys, *order, "__from"]
+    ranged = df.withColumn("__from", F.spark_partition_id()).repartitionByRange(*by)
+    placed = ranged.sortWithinPartitions(*by).withColumns(
         {"__chunk": F.spark_partition_id(), "__pos": F.monotonically_increasing_id()}
     )
-    return materialise(placed, "ordered")
+    return materialise(placed.drop("__from"), "ordered")
 
 
 def _before(chunks: DataFrame, keys: list[str], total: str, whole: str) -> DataFrame:

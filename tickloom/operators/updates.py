@@ -25,6 +25,17 @@ def history_then_live(history: DataFrame, live: DataFrame, keys: list[str]) -> D
     return last_per_key(both, keys, ["__live"]).drop("__live")
 
 
-def drop_resent(stream: DataFrame, keys: list[str], event_time: str, delay: str = "1 day") -> DataFrame:
-    """Streaming: the first arrival per key; state is kept for ``delay`` past the newest event time."""
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+def drop_resent(
+    stream: DataFrame, keys: list[str], event_time: str, delay: str = "1 day", slices: int = 16
+) -> DataFrame:
+    """Streaming: the first arrival per key; state is kept for ``delay`` past the newest event time.
+
+    Many copies of one key are first reduced in ``slices`` tasks, so the task that holds the key sees at
+    most one copy from each. The seeded slice of a row repeats when a task is re-run, as sources deliver
+    a partition in the same order again.
+    """
+    sliced = stream.withWatermark(event_time, delay).withColumn(
+        "__slice", F.floor(F.rand(seed=1) * slices)
+    )
+    fewer = sliced.dropDuplicatesWithinWatermark([*keys, "__slice"]).drop("__slice")
+    return fewer.dropDuplicatesWithinWatermark(keys)

@@ -5,10 +5,10 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.times import parse_time
 from tickloom.operators import messages
-from tickloom.operators.updates import drop_resent
+from tickloom.operators.updates import drop_resent, last_per_key
 from tickloom.plans.registry import query
-from tickloom.plans.tables import FEED, SESSION, TICKS, feed_table, table, ticks
-from tickloom.schemas import TICK_TABLE
+from tickloom.plans.tables import FEED, SESSION, TICKS, bars_sql, feed_table, table, ticks
+from tickloom.schemas import MEASURES, TICK_TABLE
 from tickloom.sinks.messages import publish_files
 from tickloom.sources.files import read_all_symbols
 from tickloom.sources.streams import file_messages, table_stream
@@ -111,3 +111,21 @@ def stream_updates_only(spark: SparkSession, folder: str) -> DataFrame:
     kept = drop_resent(twice, ["stock", "ts", "event_id"], "ts")
     ingest.append_table(kept, store, new_path(spark, "progress"), available_now=True).awaitTermination()
     return spark.read.parquet(store).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query(TICKS + bars_sql("2 minutes") + " SELECT * FROM bars")
+def stream_live_bars(spark: SparkSession, folder: str) -> DataFrame:
+    """Bars formed from the tick stream and published as messages; the last message of each bar counts."""
+    topic = new_path(spark, "bars")
+    ingest.publish_live_bars(
+        _event_stream(spark, folder), topic, new_path(spark, "progress"), available_now=True
+    ).awaitTermination()
+    sent = spark.read.parquet(topic)
+    final = last_per_key(
+        messages.parse_messages(sent.select("value", "batch"), keep=["batch"]), ["stock", "date"], ["batch"]
+    )
+    return final.select(
+        "stock",
+        parse_time(F.col("date")).cast("timestamp_ntz").alias("bar_start"),
+        *[c.lower() for c in MEASURES],
+    )

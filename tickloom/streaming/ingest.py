@@ -7,10 +7,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tickloom.functions.times import clock_text
-from tickloom.operators.bars import latest_per_symbol
+from tickloom.functions.times import clock_text, iso_text
+from tickloom.operators.bars import bar_table, latest_per_symbol, ohlc_bars
 from tickloom.operators.market import heartbeats
-from tickloom.operators.messages import accepted, parse_messages, rejected
+from tickloom.operators.messages import (
+    accepted,
+    bar_to_message,
+    parse_messages,
+    rejected,
+    to_messages,
+)
 
 # Polling intervals of bars and of single quotes.
 BAR_TRIGGER = "10 seconds"
@@ -92,6 +98,30 @@ def publish_latest(
     return _start(writer, checkpoint, available_now, every)
 
 
+def publish_live_bars(
+    ticks: DataFrame,
+    folder: str,
+    checkpoint: str,
+    interval: str = "2 minutes",
+    delay: str = "1 hour",
+    available_now: bool = False,
+    every: str = BAR_TRIGGER,
+) -> StreamingQuery:
+    """Form bars from a tick stream and publish each bar again whenever it changes.
+
+    A trigger writes its messages to ``<folder>/batch=<n>/`` and replaces them if it is repeated, so the
+    last batch of a (symbol, date) holds its final bar. Bars older than ``delay`` leave the state.
+    """
+
+    def publish(batch: DataFrame, number: int) -> None:
+        stored = bar_table(batch, iso_text(F.col("bar_start")))
+        sent = to_messages(bar_to_message(stored, F.col("Date"), F.col("stock")))
+        sent.write.mode("overwrite").parquet(f"{folder}/batch={number}")
+
+    bars = ohlc_bars(ticks.withWatermark("ts", delay), interval)
+    return _start(bars.writeStream.outputMode("update").foreachBatch(publish), checkpoint, available_now, every)
+
+
 def append_table(
     rows: DataFrame, folder: str, checkpoint: str, available_now: bool = False, every: str = BAR_TRIGGER
 ) -> StreamingQuery:
