@@ -176,9 +176,10 @@ def test_empty_folder_gives_no_rows(spark, tmp_path):
 def test_all_symbols_from_file_names(spark, tmp_path):
     write(tmp_path / "A.csv", HEADER + "d,1.0,1.0,1.0,1.0,1.0\n")
     write(tmp_path / "B F.csv", HEADER + "d,2.0,2.0,2.0,2.0,None\n")
+    write(tmp_path / "C+G.csv", HEADER + "d,3.0,2.0,2.0,2.0,1.0\n")
     write(tmp_path / "readme.md", "ignored")
     rows = files.read_all_symbols(spark, str(tmp_path)).collect()
-    assert sorted((r["Stock"], r["Open"]) for r in rows) == [("A", 1.0), ("B F", 2.0)]
+    assert sorted((r["Stock"], r["Open"]) for r in rows) == [("A", 1.0), ("B F", 2.0), ("C+G", 3.0)]
 
 
 def test_bars_by_symbol_append_and_prune(spark, tmp_path):

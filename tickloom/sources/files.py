@@ -40,7 +40,9 @@ def load_symbol(spark: SparkSession, folder: str, symbol: str) -> DataFrame:
 
 def symbol_from_path(path: Column) -> Column:
     """The symbol in ``…/AAPL.csv`` or ``…/AAPL.csv/part-0.csv``."""
-    return F.url_decode(F.regexp_extract(path, r"([^/]+)\.csv(?:/[^/]*)?$", 1))
+    name = F.regexp_extract(path, r"([^/]+)\.csv(?:/[^/]*)?$", 1)
+    # Paths are percent-encoded but keep a plus sign, which decoding would turn into a space.
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
 def read_all_symbols(
