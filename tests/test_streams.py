@@ -39,6 +39,22 @@ def test_restart_adds_only_new_messages(spark, tmp_path):
     assert [r[0] for r in spark.read.text(rejects).collect()] == ["oops"]
 
 
+def test_only_updates_are_stored(spark, tmp_path):
+    topic, store, progress = (str(tmp_path / n) for n in ("topic", "store", "progress"))
+
+    def run(day, n):
+        publish_files(messages.to_messages(bars(spark, day, n)), topic)
+        source = file_messages(spark, topic)
+        ingest.ingest_bars(
+            source, store, progress, available_now=True, file_format="parquet", updates_within="30 days"
+        ).awaitTermination()
+        return read_all_symbols(spark, store, partitioned=True, file_format="parquet").count()
+
+    assert run("2024-01-02", 10) == 10
+    assert run("2024-01-02", 12) == 12
+    assert run("2024-01-03", 2) == 14
+
+
 def test_latest_follows_new_rows(spark, tmp_path):
     folder, store, progress = (str(tmp_path / n) for n in ("rows", "latest", "progress"))
 
@@ -90,7 +106,8 @@ def test_live_bars_grow_with_later_ticks(spark, tmp_path):
 
 
 def test_broker_options_and_missing_connector(spark):
-    options = kafka_options("host:9092", BAR_TOPIC, "readers")
+    options = kafka_options("host:9092", BAR_TOPIC, "readers", max_per_trigger=1000)
+    assert options["maxOffsetsPerTrigger"] == "1000" and "minPartitions" not in options
     assert options["subscribe"] == "stock_prices" and options["startingOffsets"] == "earliest"
     with pytest.raises(Exception, match="(?i)kafka"):
         kafka_messages(spark, "host:9092")

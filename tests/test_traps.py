@@ -193,6 +193,16 @@ def test_bars_by_symbol_append_and_prune(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(stock" in plan
 
 
+def test_parquet_store_pushes_filters(spark, tmp_path):
+    rows = bar_rows(spark, [("d", 1.0, 2.0, 1.0, 1.0, 1.0), ("e", None, None, None, None, None)])
+    append_bars_by_symbol(rows.withColumn("stock", F.lit("A")), str(tmp_path / "store"), "parquet")
+    stored = files.read_all_symbols(spark, str(tmp_path / "store"), partitioned=True, file_format="parquet")
+    priced = clean.not_null(stored).select("High")
+    plan = priced._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(Open)]" in plan and "ReadSchema: struct<Open:double,High:double>" in plan
+    assert [r[0] for r in priced.collect()] == [2.0]
+
+
 def test_details_take_defaults(spark):
     rows = spark.createDataFrame([("A", '{"shortName":"Apple","marketCap":12}'), ("B", "broken")], "s string, d string")
     found = documents.symbol_details(rows, F.col("s"), F.lit("2024-01-02"), F.col("d")).collect()

@@ -7,20 +7,17 @@ from tickloom.functions.documents import to_json
 from tickloom.functions.times import clock_text
 
 
-def append_bars_by_symbol(bars: DataFrame, folder: str) -> None:
+def append_bars_by_symbol(bars: DataFrame, folder: str, file_format: str = "csv") -> None:
     """Append a bar table with column ``stock`` to ``<folder>/stock=<symbol>/``.
 
-    The rebalance hint gathers each symbol into few files and lets adaptive execution split a hot symbol
-    over several tasks.
+    CSV is the compatible layout; Parquet is read column by column and skips row groups. The rebalance
+    hint gathers each symbol into few files and lets adaptive execution split a hot symbol over several
+    tasks.
     """
-    (
-        bars.hint("rebalance", "stock")
-        .write.mode("append")
-        .option("header", True)
-        .option("nullValue", "None")
-        .partitionBy("stock")
-        .csv(folder)
-    )
+    writer = bars.hint("rebalance", "stock").write.mode("append").partitionBy("stock")
+    if file_format == "csv":
+        writer = writer.option("header", True).option("nullValue", "None")
+    writer.format(file_format).save(folder)
 
 
 def append_ticks(ticks: DataFrame, folder: str, price: str = "value") -> None:

@@ -46,21 +46,23 @@ def symbol_from_path(path: Column) -> Column:
 
 
 def read_all_symbols(
-    spark: SparkSession, folder: str, partitioned: bool = False, schema: StructType = BAR_TABLE
+    spark: SparkSession,
+    folder: str,
+    partitioned: bool = False,
+    schema: StructType = BAR_TABLE,
+    file_format: str = "csv",
 ) -> DataFrame:
     """Every symbol's bars in one scan, with the symbol as column ``Stock``.
 
     ``partitioned=False`` reads a flat folder of ``<symbol>.csv`` files; ``partitioned=True`` reads
-    ``stock=<symbol>/`` folders, where a filter on the symbol prunes whole folders. A folder without CSV
-    files gives an empty table.
+    ``stock=<symbol>/`` folders, where a filter on the symbol prunes whole folders. A folder without
+    files of the format gives an empty table.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("nullValue", "None")
-        .option("pathGlobFilter", "*.csv")
-    )
+    reader = spark.read.format(file_format).option("pathGlobFilter", f"*.{file_format}")
+    if file_format == "csv":
+        reader = reader.option("header", True).option("nullValue", "None")
     if partitioned:
         fields = StructType([*schema.fields, StructField("stock", StringType())])
-        return reader.schema(fields).csv(folder).withColumnRenamed("stock", "Stock")
-    bars = reader.schema(schema).csv(folder)
+        return reader.schema(fields).load(folder).withColumnRenamed("stock", "Stock")
+    bars = reader.schema(schema).load(folder)
     return bars.withColumn("Stock", symbol_from_path(F.col("_metadata.file_path")))

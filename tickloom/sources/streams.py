@@ -9,24 +9,38 @@ BAR_TOPIC = "stock_prices"
 TICK_TOPIC = "conn-events"
 
 
-def kafka_options(servers: str, topic: str, group: str | None = None) -> dict[str, str]:
+def kafka_options(
+    servers: str,
+    topic: str,
+    group: str | None = None,
+    max_per_trigger: int | None = None,
+    min_partitions: int | None = None,
+) -> dict[str, str]:
+    """Reader options: from the earliest offset, in batches of bounded size.
+
+    ``max_per_trigger`` keeps the first batch over a long topic from taking all of it;
+    ``min_partitions`` divides topic partitions, such as that of a hot symbol, over more tasks.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
-        "failOnDataLoss": "false",
     }
-    if group:
-        options["groupIdPrefix"] = group
+    optional = {
+        "groupIdPrefix": group,
+        "maxOffsetsPerTrigger": max_per_trigger,
+        "minPartitions": min_partitions,
+    }
+    options.update({key: str(value) for key, value in optional.items() if value is not None})
     return options
 
 
-def kafka_messages(spark: SparkSession, servers: str, topic: str = BAR_TOPIC, group: str | None = None) -> DataFrame:
-    """A topic from its earliest offset. Needs Spark's Kafka connector on the class path.
+def kafka_messages(spark: SparkSession, servers: str, topic: str = BAR_TOPIC, **options) -> DataFrame:
+    """A topic as a stream; further arguments as for ``kafka_options``. Needs Spark's Kafka connector.
 
     The position is kept in the query's checkpoint, so a restart neither loses nor repeats messages.
     """
-    source = spark.readStream.format("kafka").options(**kafka_options(servers, topic, group)).load()
+    source = spark.readStream.format("kafka").options(**kafka_options(servers, topic, **options)).load()
     return source.select(F.col("key").cast("string"), F.col("value").cast("string"))
 
 

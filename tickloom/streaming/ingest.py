@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tickloom.functions.times import clock_text, iso_text
+from tickloom.functions.times import clock_text, iso_text, parse_time
 from tickloom.operators.bars import bar_table, latest_per_symbol, ohlc_bars
 from tickloom.operators.market import heartbeats
 from tickloom.operators.messages import (
@@ -17,6 +17,7 @@ from tickloom.operators.messages import (
     rejected,
     to_messages,
 )
+from tickloom.operators.updates import drop_resent
 
 # Polling intervals of bars and of single quotes.
 BAR_TRIGGER = "10 seconds"
@@ -28,21 +29,32 @@ def _start(writer: DataStreamWriter, checkpoint: str, available_now: bool, every
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-def _append_csv(rows: DataFrame, folder: str) -> DataStreamWriter:
-    return (
-        rows.writeStream.format("csv")
-        .outputMode("append")
-        .option("header", True)
-        .option("nullValue", "None")
-        .option("path", folder)
-    )
+def _append(rows: DataFrame, folder: str, file_format: str = "csv") -> DataStreamWriter:
+    writer = rows.writeStream.format(file_format).outputMode("append").option("path", folder)
+    if file_format == "csv":
+        writer = writer.option("header", True).option("nullValue", "None")
+    return writer
 
 
 def ingest_bars(
-    messages: DataFrame, folder: str, checkpoint: str, available_now: bool = False, every: str = BAR_TRIGGER
+    messages: DataFrame,
+    folder: str,
+    checkpoint: str,
+    available_now: bool = False,
+    every: str = BAR_TRIGGER,
+    file_format: str = "csv",
+    updates_within: str | None = None,
 ) -> StreamingQuery:
-    """Parse bar messages and append them to the symbol's folder, exactly once."""
-    writer = _append_csv(accepted(parse_messages(messages)), folder).partitionBy("stock")
+    """Parse bar messages and append them to the symbol's folder, exactly once.
+
+    ``updates_within`` (e.g. ``"30 days"``) drops bars sent again within that time; without it every
+    message is stored.
+    """
+    bars = accepted(parse_messages(messages))
+    if updates_within is not None:
+        timed = bars.withColumn("__time", parse_time(F.col("Date")))
+        bars = drop_resent(timed, ["stock", "Date"], "__time", updates_within).drop("__time")
+    writer = _append(bars, folder, file_format).partitionBy("stock")
     return _start(writer, checkpoint, available_now, every)
 
 
@@ -50,10 +62,7 @@ def ingest_rejects(
     messages: DataFrame, folder: str, checkpoint: str, available_now: bool = False, every: str = BAR_TRIGGER
 ) -> StreamingQuery:
     """Keep unreadable messages as text beside the good ones instead of stopping."""
-    writer = (
-        rejected(parse_messages(messages)).writeStream.format("text").outputMode("append").option("path", folder)
-    )
-    return _start(writer, checkpoint, available_now, every)
+    return _start(_append(rejected(parse_messages(messages)), folder, "text"), checkpoint, available_now, every)
 
 
 def ingest_ticks(
@@ -63,7 +72,7 @@ def ingest_ticks(
     rows = messages.select(
         clock_text(F.current_timestamp()).alias("time"), F.col("value").alias("price")
     )
-    return _start(_append_csv(rows, folder), checkpoint, available_now, every)
+    return _start(_append(rows, folder), checkpoint, available_now, every)
 
 
 def ingest_heartbeats(
@@ -76,8 +85,8 @@ def ingest_heartbeats(
     every: str = BAR_TRIGGER,
 ) -> StreamingQuery:
     """Append one row without measures per symbol and closed-market time."""
-    writer = heartbeats(times, symbols, ts).writeStream.format("parquet").outputMode("append").option("path", folder)
-    return _start(writer, checkpoint, available_now, every)
+    rows = heartbeats(times, symbols, ts)
+    return _start(_append(rows, folder, "parquet"), checkpoint, available_now, every)
 
 
 def publish_latest(
@@ -126,5 +135,4 @@ def append_table(
     rows: DataFrame, folder: str, checkpoint: str, available_now: bool = False, every: str = BAR_TRIGGER
 ) -> StreamingQuery:
     """Append the rows of any stream as Parquet, exactly once."""
-    writer = rows.writeStream.format("parquet").outputMode("append").option("path", folder)
-    return _start(writer, checkpoint, available_now, every)
+    return _start(_append(rows, folder, "parquet"), checkpoint, available_now, every)
