@@ -2,7 +2,7 @@ from tickloom.operators.profiles import company_profile, extract_fields
 
 PAGE = """<html><!-- <div class="P6K39c">no</div> --><script>var a="<div class='P6K39c'>x</div>"</script>
 <div class="YMlKec fxKbKc">$1 &amp;lt; &#8364;5 &#x41;&bogus; & b</div>
-<DIV id=1 class='a P6K39c b'>one<div>in<div class=x>ner</div></div>!</DIV><div class="P6K39cc">not</div>
+<DIV id=1 class='a P6K39c b'>one<div>in<div class=x>ner</div></div>!</DIV><div class="P6K39cc">not</div><div class="p6k39c">nor</div>
 <div class="P6K39c">two<div class="P6K39c">nested <b>three</b></div>tail</div><div class=P6K39c>four</div>
 <div class="fxKbKc YMlKec">order</div><div class="Yfwt5">first text</div><div class="bLLb2d">about unclosed"""
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom import storage
-from tickloom.operators import charts, model
+from tickloom.operators import charts, model, spread
 from tickloom.operators.bars import ohlc_bars
 from tickloom.plans import QUERIES
 from tickloom.plans.tables import ticks
@@ -58,6 +58,24 @@ def test_written_tables(spark):
     assert "Range" not in plan_of(df) and df.count() == 5
 
 
+def test_clearing_removes_only_working_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "working_root", lambda _: str(tmp_path))
+    storage.materialise(spark.range(3), "numbers")
+    (tmp_path / "other").mkdir()
+    assert (tmp_path / "tickloom").exists()
+    storage.clear(spark)
+    assert not (tmp_path / "tickloom" / spark.sparkContext.applicationId).exists()
+    assert (tmp_path / "other").exists()
+
+
+def test_size_check(spark, monkeypatch):
+    rows = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("k"))
+    assert spread.fits_broadcast(rows) and not spread.fits_broadcast(rows, 9)
+    assert spread.fits_broadcast(rows.limit(0), 0)
+    monkeypatch.setattr(spread, "BROADCAST_BYTES", 5000)
+    assert not spread.fits_broadcast(rows)
+
+
 def test_working_folder_of_a_session_without_setting(spark):
     class Context:
         applicationId = "x"

@@ -96,7 +96,8 @@ def test_live_bars_grow_with_later_ticks(spark, tmp_path):
         stream = spark.readStream.schema(df.schema).parquet(folder)
         ingest.publish_live_bars(stream, topic, progress, available_now=True).awaitTermination()
         parsed = messages.parse_messages(spark.read.parquet(topic), keep=["batch"])
-        return {(r["date"], r["open"], r["close"], r["volume"]) for r in last_per_key(parsed, ["stock", "date"], ["batch"]).collect()}
+        final = last_per_key(parsed, ["stock", "date"], ["batch"])
+        return {(r["date"], r["open"], r["close"], r["volume"]) for r in final.collect()}
 
     assert run([("A", "2024-01-02 10:00:10", 1, 5.0)]) == {("2024-01-02T10:00:00", 5.0, 5.0, 1.0)}
     assert run([("A", "2024-01-02 10:01:10", 2, 7.0), ("A", "2024-01-02 10:02:00", 3, 8.0)]) == {

@@ -77,7 +77,8 @@ def _opening(tag: str, class_: str | None) -> str:
     """Pattern of an opening tag; a class with a space must equal the attribute, a plain one be in its list."""
     if class_ is None:
         return rf"<{tag}[\s/>]"
-    name = re.escape(class_).replace("'", r"\x27")
+    # Tags and attributes are case-insensitive, class names are not.
+    name = "(?-i:" + re.escape(class_).replace("'", r"\x27") + ")"
     whole = " " in class_
     values = []
     for quote in ('"', r"\x27"):

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from tickloom.storage import materialise
 
-# Per-key tables up to this many rows are broadcast; larger ones take the salted join.
+# Per-key tables within both bounds are broadcast; larger ones take the salted join.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 # Rows of one key a single join task should handle in the salted join.
 ROWS_PER_SLICE = 5_000_000
 
@@ -28,6 +29,13 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str =
     return left.join(right, "__key", how).drop("__key")
 
 
+def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Measure a written table: whether its rows and their text size stay within the bounds."""
+    text = F.octet_length(F.to_json(F.struct(*df.columns)))
+    size = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(text), F.lit(0)).alias("bytes")).first()
+    return size["n"] <= rows and size["bytes"] <= BROADCAST_BYTES
+
+
 def attach_per_key(
     rows: DataFrame,
     per_key: DataFrame,
@@ -41,17 +49,17 @@ def attach_per_key(
 
     ``how="inner"`` keeps only rows whose key is listed.
 
-    The table is written first, so its size is known: small ones are broadcast. Otherwise only the hot
-    keys are salted, each in proportion to its row count. The list of hot keys is itself broadcast only
-    when it passes the same size check.
+    The table is written and measured first: small ones are broadcast. Otherwise only the hot keys are
+    salted, each in proportion to its row count. The list of hot keys is itself broadcast only when it
+    passes the same check.
     """
     per_key = materialise(per_key, "per-key")
-    if per_key.count() <= broadcast_rows:
+    if fits_broadcast(per_key, broadcast_rows):
         return join_on_keys(rows, F.broadcast(per_key), keys, how)
 
     slices = F.ceil(F.col(count_col) / F.lit(rows_per_slice)).cast("int")
     hot = per_key.filter(F.col(count_col) > rows_per_slice).select(*keys, slices.alias("__slices"))
-    if hot.count() <= broadcast_rows:
+    if fits_broadcast(hot, broadcast_rows):
         hot = F.broadcast(hot)
     # The partition number also spreads exact copies of a row, and stays the same when a task is re-run.
     spread = F.xxhash64(*rows.columns) + F.spark_partition_id()

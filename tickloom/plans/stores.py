@@ -99,7 +99,7 @@ def sink_csv_table(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "table")
     daily = ohlc_bars(ticks(spark, folder).filter(F.col("stock") == "click"), "1 day")
     dated = daily.drop("stock").withColumn("Date", iso_text(F.col("bar_start"))).drop("bar_start")
-    write_table_csv(dated.limit(1), path, "Date")
+    write_table_csv(dated.filter(F.col("Date") < SPLIT_AT), path, "Date")
     write_table_csv(dated, path, "Date")
     columns = "Date string, open double, high double, low double, close double, volume double"
     return spark.read.schema(columns).option("header", True).csv(path)

@@ -1,6 +1,6 @@
 """File sinks. Reader and writer agree on column order and on ``None`` for a missing measure."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.documents import to_json
@@ -32,7 +32,7 @@ def write_snapshot(document: DataFrame, path: str, column: str = "document") ->
     document.select(F.col(column)).write.mode("overwrite").text(path, lineSep="\n")
 
 
-def pretty_document(*columns) -> "F.Column":
+def pretty_document(*columns: Column) -> Column:
     """Struct columns as indented JSON text."""
     return to_json(*columns, pretty=True)
 
