@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom import storage
-from tickloom.operators import charts, model, spread
-from tickloom.operators.bars import ohlc_bars
+from tickloom.operators import charts, model, spread, updates
+from tickloom.operators.bars import latest_per_symbol, ohlc_bars
 from tickloom.plans import QUERIES
 from tickloom.plans.tables import ticks
 
@@ -34,6 +34,14 @@ def test_bars_shuffle_once_and_combine_before(spark, folder):
     assert "SortAggregate" not in primitive and "HashAggregate" in primitive
 
 
+def test_last_of_fixed_width_rows_is_hashed(spark, folder):
+    bars = storage.materialise(ohlc_bars(ticks(spark, folder)))
+    plan = plan_of(updates.history_then_live(bars, bars, ["stock", "bar_start"]))
+    assert "SortAggregate" not in plan and plan.count("Exchange") == 1
+    newest = plan_of(latest_per_symbol(bars, ["bar_start"], ["bar_start", "close"]))
+    assert "SortAggregate" not in newest
+
+
 def test_models_per_symbol_shuffle_once(spark, folder):
     bars = storage.materialise(ohlc_bars(ticks(spark, folder)))
     plan = plan_of(model.least_squares_per_key(bars, ["stock"], ["open", "high", "low", "volume"], "close"))

@@ -167,6 +167,15 @@ def test_last_per_key_is_idempotent(ticks):
     assert once.count() == ticks.select("stock", "s").distinct().count()
 
 
+def test_hashed_and_struct_picks_agree(spark, ticks):
+    one = ticks.select("stock", "s", "event_id", "price").withColumn(
+        "price", F.when(F.col("event_id") % 3 > 0, F.col("price"))
+    )
+    hashed = updates.last_per_key(one, ["stock"], ["event_id"])
+    with_text = updates.last_per_key(one.withColumn("text", F.lit("x")), ["stock"], ["event_id"])
+    assert sorted(map(str, hashed.collect())) == sorted(map(str, with_text.drop("text").collect()))
+
+
 def test_live_rows_win(spark):
     old = spark.createDataFrame([("A", 1, 1.0), ("A", 2, 2.0)], "stock string, d int, v double")
     new = spark.createDataFrame([("A", 2, 9.0), ("A", 3, 3.0)], "stock string, d int, v double")

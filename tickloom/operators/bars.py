@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.operators.updates import last_per_key
+
 
 def ohlc_bars(
     ticks: DataFrame,
@@ -29,9 +31,8 @@ def ohlc_bars(
 
 def latest_per_symbol(df: DataFrame, order: list[str], columns: list[str], key: str = "stock") -> DataFrame:
     """The newest row of each symbol, as an aggregate instead of a sort of each symbol's rows."""
-    position = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    row = F.max_by(F.struct(*columns), position).alias("row")
-    return df.groupBy(key).agg(row).select(key, "row.*")
+    needed = list(dict.fromkeys([key, *order, *columns]))
+    return last_per_key(df.select(*needed), [key], order).select(key, *columns)
 
 
 def bar_table(bars: DataFrame, date: Column) -> DataFrame:

@@ -11,9 +11,23 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+# Types whose aggregation buffers Spark updates in place, which hash aggregation needs.
+_FIXED_WIDTH = {
+    "boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz",
+}
+
+
 def last_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The last row per key. Combined before the shuffle, so many copies of one key cost one row per task."""
+    """The last row per key. Combined before the shuffle, so many copies of one key cost one row per task.
+
+    With one order column and fixed-width columns only, each column is picked by itself, which allows
+    hash aggregation; the pick falls on the same row for all. Otherwise the row is carried as a struct.
+    """
     columns = [c for c in df.columns if c not in keys]
+    types = dict(df.dtypes)
+    if len(order) == 1 and all(types[c] in _FIXED_WIDTH for c in [*columns, *order]):
+        last = df.groupBy(*keys).agg(*[F.max_by(c, order[0]).alias(c) for c in columns])
+        return last.select(*df.columns)
     position = F.struct(*order) if len(order) > 1 else F.col(order[0])
     row = F.max_by(F.struct(*columns), position).alias("row")
     return df.groupBy(*keys).agg(row).select(*keys, "row.*").select(*df.columns)
