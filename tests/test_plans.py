@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom import storage
-from tickloom.operators import charts, model, spread, updates
+from tickloom.operators import charts, messages, model, spread, updates
 from tickloom.operators.bars import latest_per_symbol, ohlc_bars
 from tickloom.plans import QUERIES
 from tickloom.plans.tables import ticks
@@ -59,6 +59,11 @@ def test_row_wise_work_has_no_shuffle(spark, folder):
         assert "AdaptiveSparkPlan" not in plan_of(QUERIES[name](spark, folder))
 
 
+def test_messages_are_parsed_once(spark):
+    sent = storage.materialise(spark.createDataFrame([("x",)], "value string"), "texts")
+    assert plan_of(messages.accepted(sent)).count("from_json") == 1
+
+
 def test_written_tables(spark):
     df = storage.materialise(spark.range(5).withColumn("x", F.col("id") * 2), "numbers")
     root = storage.application_root(spark)

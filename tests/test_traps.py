@@ -127,9 +127,8 @@ def test_session_in_a_named_zone_and_now(spark):
 def test_messages_good_bad_and_nan(spark):
     good = '{"stock":"A","date":"d","open":NaN,"high":1.0,"low":null,"close":"x","volume":2}'
     sent = spark.createDataFrame([("oops",), ('{"open":"x"}',), (good,)], "value string")
-    parsed = messages.parse_messages(sent)
-    assert {r["value"] for r in messages.rejected(parsed).collect()} == {"oops", '{"open":"x"}'}
-    row = messages.accepted(parsed).first()
+    assert {r["value"] for r in messages.rejected(sent).collect()} == {"oops", '{"open":"x"}'}
+    row = messages.accepted(sent).first()
     assert math.isnan(row["Open"]) and row["High"] == 1.0 and row["Low"] is None
     assert row["Close"] is None and row["Volume"] == 2.0
 

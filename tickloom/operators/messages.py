@@ -30,13 +30,22 @@ def parse_messages(messages: DataFrame, value: str = "value", keep: list[str] |
     return parsed.select(value, *(keep or []), "__m.*")
 
 
-def accepted(parsed: DataFrame) -> DataFrame:
+def _readable(value: str) -> Column:
+    """The message as an array of one, or of none if it has no readable symbol.
+
+    Testing the symbol inside the array parses each text once; a filter on a parsed column would be moved
+    before the parsing and parse a second time.
+    """
+    return F.filter(F.array(from_json(F.col(value), BAR_MESSAGE)), lambda m: m["stock"].isNotNull())
+
+
+def accepted(messages: DataFrame, value: str = "value") -> DataFrame:
     """Readable messages as stored bars: Date, Open, High, Low, Close, Volume, stock."""
-    return parsed.filter(F.col("stock").isNotNull()).select(
+    return messages.select(F.inline(_readable(value))).select(
         F.col("date").alias("Date"), *[F.col(c.lower()).alias(c) for c in MEASURES], "stock"
     )
 
 
-def rejected(parsed: DataFrame, value: str = "value") -> DataFrame:
+def rejected(messages: DataFrame, value: str = "value") -> DataFrame:
     """Raw text of messages without a readable symbol."""
-    return parsed.filter(F.col("stock").isNull()).select(value)
+    return messages.filter(F.size(_readable(value)) == 0).select(value)

@@ -187,7 +187,7 @@ def message_to_bar(spark: SparkSession, folder: str) -> DataFrame:
     """Bars to JSON text and back."""
     rows = feed_table(spark, folder)
     sent = messages.to_messages(messages.bar_to_message(rows, F.col("Date"), F.col("stock")))
-    return messages.accepted(messages.parse_messages(sent))
+    return messages.accepted(sent)
 
 
 @query(
@@ -209,11 +209,10 @@ def reject_malformed(spark: SparkSession, folder: str) -> DataFrame:
     sent = sent.withColumn(
         "value", F.when(damaged, F.substring("value", 1, 9)).otherwise(F.col("value"))
     )
-    parsed = messages.parse_messages(sent)
-    good = messages.accepted(parsed).groupBy("stock").agg(
+    good = messages.accepted(sent).groupBy("stock").agg(
         F.count("*").alias("n"), F.count("Open").alias("opens"), F.lit(0).cast("bigint").alias("rejects")
     )
-    bad = messages.rejected(parsed).agg(
+    bad = messages.rejected(sent).agg(
         F.lit(None).cast("string").alias("stock"),
         F.count("*").alias("n"),
         F.lit(0).cast("bigint").alias("opens"),

@@ -13,7 +13,6 @@ from tickloom.operators.market import heartbeats
 from tickloom.operators.messages import (
     accepted,
     bar_to_message,
-    parse_messages,
     rejected,
     to_messages,
 )
@@ -50,7 +49,7 @@ def ingest_bars(
     ``updates_within`` (e.g. ``"30 days"``) drops bars sent again within that time; without it every
     message is stored.
     """
-    bars = accepted(parse_messages(messages))
+    bars = accepted(messages)
     if updates_within is not None:
         timed = bars.withColumn("__time", parse_time(F.col("Date")))
         bars = drop_resent(timed, ["stock", "Date"], "__time", updates_within).drop("__time")
@@ -62,7 +61,7 @@ def ingest_rejects(
     messages: DataFrame, folder: str, checkpoint: str, available_now: bool = False, every: str = BAR_TRIGGER
 ) -> StreamingQuery:
     """Keep unreadable messages as text beside the good ones instead of stopping."""
-    return _start(_append(rejected(parse_messages(messages)), folder, "text"), checkpoint, available_now, every)
+    return _start(_append(rejected(messages), folder, "text"), checkpoint, available_now, every)
 
 
 def ingest_ticks(
