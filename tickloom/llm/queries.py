@@ -4,7 +4,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import mixing, packing, sharding, substrings, tables, tokens
+from tickloom.llm import (
+    language,
+    mixing,
+    near,
+    neighbours,
+    packing,
+    sharding,
+    substrings,
+    tables,
+    tokens,
+    topk,
+    toxicity,
+)
 
 QUERIES = {}
 CHECKS = {}
@@ -82,3 +94,33 @@ def op5_shard_rows(spark: SparkSession, folder: str) -> DataFrame:
         F.col("slot").cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query()
+def op6_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The 10 largest inner products of every hundredth vector with all others."""
+    return topk.exact_top_k(tables.read(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
+@query()
+def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with the component of their near copies: three-word shingles, 85 percent in common."""
+    return near.near_duplicates(tables.documents(spark, folder), 3, 85)
+
+
+@query()
+def op8_page_languages(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every page, from its text, markup, address and host; text model from all documents."""
+    return language.identify_languages(tables.read(spark, folder, "pages"), tables.documents(spark, folder))
+
+
+@query()
+def op9_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest found among all others for every twentieth vector."""
+    return neighbours.nearest(tables.read(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+@query()
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """A toxicity score for every whole document, learned from the labels that are not held out."""
+    return toxicity.score(tables.documents(spark, folder), tables.read(spark, folder, "labels"))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import hashing
-from tickloom.llm.tables import materialise, partitions, text_key
+from tickloom.llm.tables import free_name, materialise, partitions, text_key
 from tickloom.storage import new_path
 
 WIDTH = 35
@@ -329,21 +329,21 @@ def digest(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``docs`` with the repeated words taken out of ``text``; texts without any stay as they are.
 
-    Every row and column is kept. A null text stays null.
+    Every row and column is kept. A null text stays null. What is left of a text that loses words is
+    joined by single spaces, and may be empty.
     """
     _, left = find_repeats(docs, width)
-    spans = left.filter("n_removed > 0").select("k1", "k2", "starts", "ends")
-    k1, k2 = text_key(F.col("text"))
-    keyed = docs.withColumns({"__k1": k1, "__k2": k2})
-    joined = keyed.join(
-        spans.withColumnsRenamed({"k1": "__k1", "k2": "__k2", "starts": "__starts", "ends": "__ends"}),
-        ["__k1", "__k2"],
-        "left",
+    k1, k2, keeps = (free_name(docs, name) for name in ("k1", "k2", "keeps"))
+    # The word ranges between the repeats: (first word from 1, number of words).
+    begins = F.concat(F.array(F.lit(0)), "ends")
+    lengths = F.zip_with(begins, F.concat("starts", F.array(F.col("n_words").cast("int"))), lambda a, b: b - a)
+    ranges = F.zip_with(begins, lengths, lambda a, n: F.struct((a + 1).alias("at"), n.alias("n")))
+    lossy = left.filter("n_removed > 0").select(
+        F.col("k1").alias(k1), F.col("k2").alias(k2), F.filter(ranges, lambda r: r["n"] > 0).alias(keeps)
     )
+    key1, key2 = text_key(F.col("text"))
+    joined = docs.withColumns({k1: key1, k2: key2}).join(lossy, [k1, k2], "left")
     words = F.filter(F.split(F.col("text"), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    outside = F.filter(
-        F.transform(words, lambda w, i: F.when(~F.exists(F.arrays_zip("__starts", "__ends"), lambda s: (i >= s["__starts"]) & (i < s["__ends"])), w)),
-        lambda w: w.isNotNull(),
-    )
-    text = F.when(F.col("__starts").isNull(), F.col("text")).otherwise(F.array_join(outside, " "))
-    return joined.withColumn("text", text).select(*docs.columns)
+    kept = F.flatten(F.transform(keeps, lambda r: F.slice(words, r["at"], r["n"])))
+    text = F.when(F.col(keeps).isNull(), F.col("text")).otherwise(F.array_join(kept, " "))
+    return joined.withColumn("text", F.when(F.col("text").isNotNull(), text)).select(*docs.columns)
