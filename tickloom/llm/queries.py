@@ -78,17 +78,13 @@ SHARD_SEED = 5
 @query()
 def op5_shard_rows(spark: SparkSession, folder: str) -> DataFrame:
     """All documents shuffled into 24 shards whose row counts differ by one at most."""
+    docs = tables.documents(spark, folder).select("doc_id", "text")
+    sharded = sharding.shard_rows(docs, 24, SHARD_SEED)
     text = F.coalesce("text", F.lit(""))
-    digests = tables.documents(spark, folder).select(
+    return sharded.select(
         "doc_id",
         (F.octet_length(text).cast("long") + 8).alias("size"),
         F.crc32(text).alias("text_crc32"),
-    )
-    sharded = sharding.shard_rows(digests, 24, SHARD_SEED)
-    return sharded.select(
-        "doc_id",
-        "size",
-        "text_crc32",
         F.lit("rows").alias("law"),
         F.col("shard").cast("int").alias("shard"),
         F.col("slot").cast("long").alias("slot"),

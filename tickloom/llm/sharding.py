@@ -9,9 +9,8 @@ exchanged, and each shard permutes what it got. The shard sizes are exact: they
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tickloom.llm.tables import materialise
+from tickloom.llm.tables import free_name, materialise
 from tickloom.operators.spread import attach_per_key, row_numbers
 
 #: Numpy's own generator is exact below this population; above it the law is summed around its mode.
@@ -58,40 +57,35 @@ def shard_rows(rows: DataFrame, shards: int, seed: int = 0) -> DataFrame:
     """Add ``shard`` (0 to shards - 1) and ``slot`` (gapless from 0 in each shard) to ``rows``.
 
     The rows are written once with their block and place, so that counts and permutations see the same
-    blocks even if a task is run again. The driver holds one number per (block, shard), never rows. Any
-    columns and any repeated rows are kept; columns that are called shard or slot are replaced. A table
-    without rows gives none.
+    blocks even if a task is run again. Permutations work on places; whole rows move once, in the exchange.
+    The driver holds one number per (block, shard), never rows. Any columns and any repeated rows are kept;
+    columns that are called shard or slot are replaced. A table without rows gives none.
     """
     kept = [c for c in rows.columns if c.lower() not in ("shard", "slot")]
-    spark = rows.sparkSession
-    blocked = materialise(
-        rows.select(*kept).withColumns({"__block": F.spark_partition_id(), "__place": F.monotonically_increasing_id()}),
+    block, place = free_name(rows, "block"), free_name(rows, "place")
+    stored = materialise(
+        rows.select(*kept).withColumns({block: F.spark_partition_id(), place: F.monotonically_increasing_id()}),
         "blocks",
     )
-    counts = {r["__block"]: r["n"] for r in blocked.groupBy("__block").agg(F.count("*").alias("n")).collect()}
+    places = stored.select(F.col(block).alias("block"), F.col(place).alias("place"))
+    counts = {r["block"]: r["n"] for r in places.groupBy("block").agg(F.count("*").alias("n")).collect()}
     blocks = sorted(counts)
     sizes = shard_sizes(sum(counts.values()), shards)
-    cuts, entries = communication_matrix([counts[b] for b in blocks], sizes, seed), []
-    for block, given in zip(blocks, cuts, strict=True):
-        ends = np.cumsum(given)
-        entries += [(block, [int(e) for e in ends], counts[block])]
-    schema = T.StructType([
-        T.StructField("__block", T.IntegerType()), T.StructField("__ends", T.ArrayType(T.LongType())),
-        T.StructField("__rows", T.LongType()),
-    ])
-    matrix = spark.createDataFrame(entries, schema)
+    matrix = communication_matrix([counts[b] for b in blocks], sizes, seed)
+    entries = [
+        (b, np.cumsum(given).tolist(), counts[b]) for b, given in zip(blocks, matrix, strict=True)
+    ]
+    ends = rows.sparkSession.createDataFrame(entries, "block int, ends array<long>, rows long")
     # First permutation: inside the block, whose size the input split bounds.
-    mixed = F.xxhash64(F.lit(seed), "__place")
-    local = Window.partitionBy("__block").orderBy(mixed, "__place")
-    permuted = blocked.withColumn("__rank", F.row_number().over(local))
-    told = attach_per_key(permuted, matrix, ["__block"], "__rows")
-    passed = F.size(F.filter("__ends", lambda end: end < F.col("__rank")))
-    sent = told.withColumn("shard", passed).drop("__ends", "__rows", "__rank", "__block")
-    # Exchange and second permutation: a range shuffle by (shard, draw), so that a shard of any size is
-    # spread over many tasks.
-    drawn = sent.withColumn("__draw", F.xxhash64(F.lit(seed + 1), "__place"))
-    numbered = row_numbers(drawn, ["shard"], ["__draw", "__place"], "slot", "__whole")
-    return numbered.withColumn("slot", F.col("slot") - 1).drop("__draw", "__place", "__whole")
+    local = Window.partitionBy("block").orderBy(F.xxhash64(F.lit(seed), "place"), "place")
+    told = attach_per_key(places.withColumn("rank", F.row_number().over(local)), ends, ["block"], "rows")
+    passed = F.size(F.filter("ends", lambda end: end < F.col("rank")))
+    sent = told.select("place", passed.alias("shard"), F.xxhash64(F.lit(seed + 1), "place").alias("draw"))
+    # Second permutation: numbers in a range order of (shard, draw), so that a shard of any size is spread
+    # over many tasks.
+    numbered = row_numbers(sent, ["shard"], ["draw", "place"], "slot", "whole")
+    slots = numbered.select(F.col("place").alias(place), "shard", (F.col("slot") - 1).alias("slot"))
+    return stored.join(slots, place).drop(block, place)
 
 
 def write_shards(docs: DataFrame, shards: int, path: str, seed: int = 0) -> DataFrame:
