@@ -1,11 +1,16 @@
 """Hashes of words and of windows of words, for many texts at once."""
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 
-# One step covers about this many bytes of text, however long a text is.
-STEP = 1 << 20
+# One step covers about so many bytes of text, or windows, however many there are.
+STEP = 1 << 18
+# Texts are handled together up to about so many bytes.
+SLICE_BYTES = 1 << 21
 BLANKS = b" \t\n\x0b\x0c\r"
 BASE = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
@@ -17,7 +22,7 @@ def powers(base: int, count: int) -> tuple[np.ndarray, np.ndarray]:
     """``base**i`` and ``base**-i`` modulo 2**64 for i below ``count``; ``base`` is odd."""
     known = _powers.get(base)
     if known is None or len(known[0]) < count:
-        size = max(count, STEP + 4096)
+        size = max(count, STEP + 1024)
         known = []
         for factor in (base, pow(base, -1, 1 << 64)):
             steps = np.full(size, factor, np.uint64)
@@ -89,10 +94,25 @@ class Words:
 
 def windows(hashes: np.ndarray, width: int, base: int) -> np.ndarray:
     """Hash of ``width`` neighbouring word hashes from each place that has so many after it."""
-    count = len(hashes) - width + 1
-    if count <= 0:
-        return np.zeros(0, np.uint64)
-    forward, back = powers(base, len(hashes))
-    sums = np.zeros(len(hashes) + 1, np.uint64)
-    np.cumsum(hashes * forward, out=sums[1:])
-    return scramble((sums[width:] - sums[:-width]) * back[:count])
+    count = max(0, len(hashes) - width + 1)
+    out = np.zeros(count, np.uint64)
+    for begin in range(0, count, STEP):
+        end = min(count, begin + STEP)
+        some = hashes[begin : end + width - 1]
+        forward, back = powers(base, len(some))
+        sums = np.zeros(len(some) + 1, np.uint64)
+        np.cumsum(some * forward, out=sums[1:])
+        out[begin:end] = scramble((sums[width:] - sums[:-width]) * back[: end - begin])
+    return out
+
+
+def slices(texts: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``limit`` bytes of text together, at least one row each."""
+    sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    begin = 0
+    while begin < len(sizes):
+        done = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, done + limit, side="right")))
+        yield begin, end
+        begin = end

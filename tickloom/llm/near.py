@@ -203,8 +203,8 @@ def signatures(docs: DataFrame, width: int, threshold: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
+            for begin, end in hashing.slices(whole.column(1)):
+                batch = whole.slice(begin, end - begin)
                 texts = [t or b"" for t in batch.column(1).cast(pa.large_binary()).to_pylist()]
                 sets = shingle_sets(texts, width)
                 filled = registers_of(sets)
@@ -351,8 +351,8 @@ def verified(docs: DataFrame, clusters: DataFrame, width: int, percent: int) ->
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
+            for begin, end in hashing.slices(whole.column(2)):
+                batch = whole.slice(begin, end - begin)
                 found = shingle_sets(batch.column(2).cast(pa.large_binary()).to_pylist(), width)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(1), pa.array([s.tobytes() for s in found], pa.binary())],

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.hashing import slices
 from tickloom.llm.tables import materialise
 from tickloom.operators.spread import row_numbers
 
@@ -82,7 +83,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer: dict[str, str], capacity: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = ByteTokenizer(**tokenizer)
-        for batch in batches:
+        for batch in (w.slice(a, b - a) for w in batches for a, b in slices(w.column(1))):
             rows = {"at": [], "piece": [], "start": [], "length": [], "crc": [], "ids": []}
             for at, text in enumerate(batch.column(1).to_pylist()):
                 ids = np.append(encoder.encode(text or ""), np.array([end], "<u4")).astype("<u4")

@@ -68,27 +68,37 @@ class Bucket:
         self.order = np.lexsort((k2, k1))
         self.k1, self.k2 = k1[self.order], k2[self.order]
         self.copies = table["copies"].to_numpy()[self.order]
-        self.column = table["text"].cast(pa.large_binary()).combine_chunks()
+        self.column = table["text"].cast(pa.large_binary())
 
-    def texts(self, chosen: np.ndarray) -> list[bytes]:
-        return self.column.take(pa.array(self.order[chosen])).to_pylist()
+    def texts(self, chosen: np.ndarray) -> Iterator[tuple[int, list[bytes]]]:
+        """The chosen texts, some at a time, each time with the number of those before."""
+        column = self.column.take(pa.array(self.order[chosen]))
+        for begin, end in hashing.slices(column):
+            yield begin, column.slice(begin, end - begin).to_pylist()
 
 
 def anchor_rows(table: pa.Table, bucket: int, parts: int, width: int) -> pa.Table:
     """Index and probes of a bucket, a row per part of the hash range."""
     block = (width + 1) // 2
     texts = Bucket(table)
-    words = hashing.Words(texts.texts(np.arange(len(texts.order))))
-    probes = hashing.windows(words.hashes, block, ANCHOR_BASE)
-    long_enough = np.repeat(words.counts >= width, words.counts)[: len(probes)]
-    whole = (words.left()[: len(probes)] >= block) & long_enough
-    place = (np.arange(len(words.hashes)) - np.repeat(words.first, words.counts))[: len(probes)]
-    index = np.flatnonzero(whole & (place % block == 0))
-    owner = np.repeat(np.arange(len(words.counts), dtype=np.uint32), words.counts)[index]
-    number = (place[index] // block).astype(np.uint32)
-    order = np.argsort(probes[index], kind="stable")
-    block_hashes, owner, number = probes[index][order], owner[order], number[order]
-    probes = np.sort(probes[whole])
+    rolled, indexed, owners, numbers = [], [], [], []
+    for before, some in texts.texts(np.arange(len(texts.order))):
+        words = hashing.Words(some)
+        hashes = hashing.windows(words.hashes, block, ANCHOR_BASE)
+        long_enough = np.repeat(words.counts >= width, words.counts)[: len(hashes)]
+        whole = (words.left()[: len(hashes)] >= block) & long_enough
+        place = (np.arange(len(words.hashes)) - np.repeat(words.first, words.counts))[: len(hashes)]
+        index = np.flatnonzero(whole & (place % block == 0))
+        owner = np.repeat(np.arange(before, before + len(some), dtype=np.uint32), words.counts)
+        rolled.append(hashes[whole])
+        indexed.append(hashes[index])
+        owners.append(owner[index])
+        numbers.append((place[index] // block).astype(np.uint32))
+    probes, blocks = np.concatenate(rolled), np.concatenate(indexed)
+    owner, number = np.concatenate(owners), np.concatenate(numbers)
+    order = np.argsort(blocks, kind="stable")
+    block_hashes, owner, number = blocks[order], owner[order], number[order]
+    probes.sort()
     if len(probes) > 2:
         # Two of a kind tell as much as more.
         probes = probes[np.concatenate(([True, True], probes[2:] != probes[:-2]))]
@@ -144,17 +154,27 @@ class Candidates:
         hits = hits.filter(pa.compute.is_null(hits["bits"]))
         joined = [b"".join(hits[name].to_pylist()) for name in ("texts", "numbers")]
         owner, number = (np.frombuffer(x, np.uint32).astype(np.int64) for x in joined)
+        order = np.argsort(owner, kind="stable")
+        owner, number = owner[order], number[order]
         self.chosen, owner = np.unique(owner, return_inverse=True)
-        self.raw = texts.texts(self.chosen)
-        self.words = hashing.Words(self.raw)
-        place = number[:, None] * block - np.arange(block)[None, :]
-        fits = (place >= 0) & (place + width <= self.words.counts[owner][:, None])
-        self.places = np.sort((self.words.first[owner][:, None] + place)[fits])
-        main, check = (
-            hashing.windows(self.words.hashes, width, base)[self.places] if len(self.places) else
-            np.zeros(0, np.uint64) for base in WINDOW_BASES
-        )
-        check = (check >> np.uint64(32)).astype(np.uint32)
+        counts, places, mains, checks, total = [], [], [], [], 0
+        for before, some in texts.texts(self.chosen):
+            words = hashing.Words(some)
+            a, b = np.searchsorted(owner, (before, before + len(some)))
+            own = owner[a:b] - before
+            place = number[a:b, None] * block - np.arange(block)[None, :]
+            fits = (place >= 0) & (place + width <= words.counts[own][:, None])
+            at = np.sort((words.first[own][:, None] + place)[fits])
+            for base, out in zip(WINDOW_BASES, (mains, checks), strict=True):
+                hashes = hashing.windows(words.hashes, width, base)
+                out.append(hashes[at] if len(at) else np.zeros(0, np.uint64))
+            checks[-1] = (checks[-1] >> np.uint64(32)).astype(np.uint32)
+            places.append(at + total)
+            counts.append(words.counts)
+            total += len(words.hashes)
+        self.counts, self.places = np.concatenate(counts), np.concatenate(places)
+        self.first = np.cumsum(self.counts) - self.counts
+        main, check = np.concatenate(mains), np.concatenate(checks)
         self.order = np.argsort(main, kind="stable")
         main, check = main[self.order], check[self.order]
         new = np.ones(len(main), np.bool_)
@@ -222,13 +242,14 @@ def kept_rows(texts: pa.Table, told: pa.Table, parts: int, width: int) -> pa.Tab
             a, b = found.cuts[part], found.cuts[part + 1]
             repeated[a:b] = np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a)
         starts = found.places[found.order[repeated[found.run]]] if len(found.places) else found.places
-        total = len(found.words.hashes)
+        total = int(found.counts.sum())
         edges = np.bincount(starts, minlength=total + 1) - np.bincount(starts + width, minlength=total + 1)
         inside = np.cumsum(edges[:total]) > 0
-        for text, first, count in zip(found.chosen, found.words.first, found.words.counts, strict=True):
+        for text, first, count in zip(found.chosen, found.first, found.counts, strict=True):
             covered[int(text)] = inside[first : first + count]
     out = {name: [] for name in ("n_words", "n_removed", "kept_sha256", "starts", "ends")}
-    for at, text in enumerate(bucket.texts(np.arange(len(bucket.order)))):
+    every = ((before + i, t) for before, some in bucket.texts(np.arange(len(bucket.order))) for i, t in enumerate(some))
+    for at, text in every:
         words = text.split()
         gone = covered.get(at)
         if bucket.copies[at] > 1 and len(words) >= width:

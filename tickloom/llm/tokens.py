@@ -10,8 +10,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 
+from tickloom.llm.hashing import slices
+
 CHUNK = 32_768
 OVERLAP = 512
 BATCH = 256
@@ -99,12 +102,14 @@ def count_tokens(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = PieceCounter(model, chunk, overlap)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            counts = counter.count(texts)
+            counts: list[int] = []
+            for begin, end in slices(batch.column(1)):
+                counts += counter.count([t or "" for t in batch.column(1).slice(begin, end - begin).to_pylist()])
+            size = pa.compute.fill_null(pa.compute.binary_length(batch.column(1)), 0)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array([len(t.encode()) for t in texts], pa.int64()),
+                    size.cast(pa.int64()),
                     pa.array(counts, pa.int64()),
                     pa.array([n > limit for n in counts], pa.bool_()),
                 ],

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.llm.hashing import slices
 from tickloom.llm.tables import free_name
 
 #: Bounds of the fitting sample: rows of each label, and bytes of each text (longer ones are not sampled).
@@ -186,10 +187,13 @@ class Model:
         self.middle, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-9
         self.weights = logistic((x - self.middle) / self.scale, y)
 
-    def scores(self, texts: list[str | None]) -> list[float]:
+    def compressors(self) -> "Compressors | None":
+        return None if self.weights is None else Compressors(*self.contents)
+
+    def scores(self, texts: list[str | None], compressors: "Compressors | None" = None) -> list[float]:
         if self.weights is None:
             return [self.base] * len(texts)
-        compressors = Compressors(*self.contents)
+        compressors = compressors or self.compressors()
         x = np.array([compressors.features(words_of(t)) for t in texts]).reshape(len(texts), -1)
         z = ((x - self.middle) / self.scale) @ self.weights[:-1] + self.weights[-1]
         return (1 / (1 + np.exp(-np.clip(z, -30, 30)))).tolist()
@@ -227,8 +231,11 @@ def with_scores(docs: DataFrame, model: Model, name: str) -> DataFrame:
     columns = [*docs.columns, name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compressors = model.compressors()
         for batch in batches:
-            scores = model.scores(batch.column(at).to_pylist())
+            scores: list[float] = []
+            for begin, end in slices(batch.column(at)):
+                scores += model.scores(batch.column(at).slice(begin, end - begin).to_pylist(), compressors)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], columns)
 
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
