@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import (
+    checks,
     language,
     mixing,
     near,
@@ -37,7 +38,7 @@ def query(check: str | None = None):
 MIX_SEED = 11
 
 
-@query()
+@query(checks.mix(MIX_SEED))
 def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     """All documents mixed to target weights 1, 2, 3 of the sources, budget: all words."""
     docs = tables.documents(spark, folder)
@@ -47,13 +48,13 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id",
         "size",
         "source_size",
-        "target",
+        F.round("target", 6).alias("target"),
         (F.col("size") * F.col("times")).alias("taken"),
         "times",
     )
 
 
-@query()
+@query(checks.SUBSTRINGS)
 def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without the words of 35-word passages that occur anywhere else."""
     return substrings.digest(tables.documents(spark, folder), 35)
@@ -92,13 +93,13 @@ def op5_shard_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query()
+@query(checks.TOP_K)
 def op6_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     """The 10 largest inner products of every hundredth vector with all others."""
     return topk.exact_top_k(tables.read(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, 10)
 
 
-@query()
+@query(checks.NEAR)
 def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """All documents with the component of their near copies: three-word shingles, 85 percent in common."""
     return near.near_duplicates(tables.documents(spark, folder), 3, 85)
