@@ -41,3 +41,22 @@ def test_fields_by_tag_and_long_pages(spark):
     row = extract_fields(spark.createDataFrame([(html,)], "html string"), fields, default="-").first()
     assert row["first"] == "y" * 20_000
     assert (row["second"], row["third"]) == ("z", "-")
+
+
+def test_ordinary_markup(spark):
+    """Quoted ends of tags, attributes that only look like a class, class lists, names and open scripts."""
+    fields = [("x", "div", "ad", 0), ("y", "div", "YMlKec fxKbKc", 0)]
+    cases = {
+        '<div title="a > b" class="ad">x</div>': "x",
+        '<div class="ad"><img alt="1 > 0">in</div>': "in",
+        """<div data-x="q class='ad' z">no</div><div class=ad>yes</div>""": "yes",
+        '<div id=a class="b  ad\n c">list</div>': "list",
+        '<div class="ad">Caf&eacute; &ne; &Auml;&notaname;</div>': "Café ≠ Ä&notaname;",
+        '<script>if (a > b) { "<div class=\'ad\'>x</div>"': "No Data Available",
+        '<!-- <div class="ad">x</div>': "No Data Available",
+    }
+    pages = spark.createDataFrame([(i, h) for i, h in enumerate(cases)], "page_id int, html string")
+    got = [r["x"] for r in extract_fields(pages, fields).orderBy("page_id").collect()]
+    assert got == list(cases.values())
+    blanks = spark.createDataFrame([(1, '<div class=" YMlKec   fxKbKc ">p</div>')], "page_id int, html string")
+    assert extract_fields(blanks, fields).first()["y"] == "p"

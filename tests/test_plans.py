@@ -36,7 +36,7 @@ def test_bars_shuffle_once_and_combine_before(spark, folder):
 
 def test_last_of_fixed_width_rows_is_hashed(spark, folder):
     bars = storage.materialise(ohlc_bars(ticks(spark, folder)))
-    plan = plan_of(updates.history_then_live(bars, bars, ["stock", "bar_start"]))
+    plan = plan_of(updates.last_per_key(bars, ["stock"], ["bar_start"]))
     assert "SortAggregate" not in plan and plan.count("Exchange") == 1
     newest = plan_of(latest_per_symbol(bars, ["bar_start"], ["bar_start", "close"]))
     assert "SortAggregate" not in newest

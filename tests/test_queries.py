@@ -30,14 +30,7 @@ def test_query_matches_its_check(spark, folder, con, name):
 
 def test_contract(spark):
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"split_random"}
+    assert set(QUERIES) == set(CHECKS) and set(QUERIES) <= set(contract.queries())
     result = contract.entry(spark)
     assert {"prediction", "close", "rmse"} <= set(result.columns)
     assert result.count() > 0
-
-
-def test_random_split_is_complete_and_disjoint(spark, folder):
-    parts = {r["part"]: r["n"] for r in QUERIES["split_random"](spark, folder).collect()}
-    total = QUERIES["ohlc_bars_1h"](spark, folder).count()
-    assert parts["train"] + parts["test"] == total
-    assert 0.6 < parts["train"] / total < 0.8

@@ -209,3 +209,20 @@ def test_key_split_is_repeatable(ticks):
     ids = lambda df: {r[0] for r in df.select("event_id").collect()}
     assert ids(train) == ids(again)
     assert not ids(train) & ids(test) and len(ids(train) | ids(test)) == ticks.count()
+
+
+def test_live_versions_of_a_bar_have_a_defined_order(spark):
+    old = spark.createDataFrame([("A", 1, 1.0, 0)], "stock string, d int, close double, at int")
+    live = [("A", 1, 5.0, 2), ("A", 1, 6.0, 1)]
+    for rows in (live, live[::-1]):
+        new = spark.createDataFrame(rows, old.schema)
+        assert updates.history_then_live(old, new, ["stock", "d"], ["at"]).first()["close"] == 5.0
+        assert updates.history_then_live(old, new, ["stock", "d"]).first()["close"] == 6.0
+
+
+def test_salted_join_of_rows_with_maps(spark):
+    rows = spark.range(200).select((F.col("id") % 7).alias("k"), F.create_map(F.lit("a"), "id").alias("m"))
+    per_key = rows.groupBy("k").agg(F.count("*").alias("n"))
+    for broadcast_rows in (0, 3, 100):
+        got = spread.attach_per_key(rows, per_key, ["k"], "n", broadcast_rows=broadcast_rows, rows_per_slice=5)
+        assert got.count() == 200 and got.filter("n IS NULL").count() == 0

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators import messages
-from tickloom.operators.updates import drop_resent, last_per_key
+from tickloom.operators.updates import last_per_key
 from tickloom.sinks.messages import publish_files, publish_kafka
 from tickloom.sources.files import read_all_symbols
 from tickloom.sources.streams import BAR_TOPIC, file_messages, kafka_messages, kafka_options
@@ -39,20 +39,26 @@ def test_restart_adds_only_new_messages(spark, tmp_path):
     assert [r[0] for r in spark.read.text(rejects).collect()] == ["oops"]
 
 
-def test_only_updates_are_stored(spark, tmp_path):
-    topic, store, progress = (str(tmp_path / n) for n in ("topic", "store", "progress"))
-
-    def run(day, n):
-        publish_files(messages.to_messages(bars(spark, day, n)), topic)
-        source = file_messages(spark, topic)
-        ingest.ingest_bars(
-            source, store, progress, available_now=True, file_format="parquet", updates_within="30 days"
-        ).awaitTermination()
-        return read_all_symbols(spark, store, partitioned=True, file_format="parquet").count()
+def test_no_bar_is_late_and_the_last_version_counts(spark, tmp_path):
+    """One symbol's whole month after another, then a revised bar: all are there, with their last values."""
+    topic, store, progress, compact = (str(tmp_path / n) for n in ("topic", "store", "progress", "compact"))
 
-    assert run("2024-01-02", 10) == 10
-    assert run("2024-01-02", 12) == 12
-    assert run("2024-01-03", 2) == 14
+    def run(rows):
+        sent = spark.createDataFrame(rows, "stock string, date string, close double")
+        sent = sent.select("stock", "date", *[F.lit(1.0).alias(c) for c in ("open", "high", "low")], "close", F.lit(1.0).alias("volume"))
+        publish_files(messages.to_messages(sent.coalesce(1)), topic)
+        bars = messages.accepted(file_messages(spark, topic, files_per_trigger=1))
+        ingest.ingest_updates(bars, store, progress, available_now=True).awaitTermination()
+        last = ingest.read_updates(spark, store, ["stock", "Date"]).collect()
+        return {(r["stock"], r["Date"]): r["Close"] for r in last}
+
+    days = [f"2024-01-{d:02d}" for d in range(1, 32)] + ["2024-02-01", "2024-02-02"]
+    assert len(run([("A", d, 1.0) for d in days])) == 33
+    assert len(run([("B", d, 2.0) for d in days])) == 66
+    last = run([("A", "2024-01-01", 9.9), ("A", "2024-01-01", 9.8)])
+    assert len(last) == 66 and last["A", "2024-01-01"] == 9.8 and last["B", "2024-01-01"] == 2.0
+    ingest.compact_updates(spark, store, compact, ["stock", "Date"])
+    assert spark.read.parquet(compact).count() == 66
 
 
 def test_latest_follows_new_rows(spark, tmp_path):
@@ -62,7 +68,7 @@ def test_latest_follows_new_rows(spark, tmp_path):
         bars(spark, day, n).write.mode("append").parquet(folder)
         rows = spark.readStream.schema(bars(spark, day, 1).schema).parquet(folder)
         ingest.publish_latest(rows, ["date"], ["date", "close"], store, progress, available_now=True).awaitTermination()
-        return sorted(map(tuple, spark.read.parquet(store).collect()))
+        return sorted(map(tuple, ingest.read_latest(spark, store).collect()))
 
     assert run("2024-01-02", 4) == [("A", "2024-01-02T10:02", 2.0), ("B", "2024-01-02T10:03", 3.0)]
     assert run("2024-01-03", 1) == [("A", "2024-01-03T10:00", 0.0), ("B", "2024-01-02T10:03", 3.0)]
@@ -74,9 +80,8 @@ def test_resent_rows_are_dropped_over_batches(spark, tmp_path):
     def run(rows):
         rows.write.mode("append").parquet(folder)
         stream = spark.readStream.schema(rows.schema).parquet(folder)
-        kept = drop_resent(stream, ["stock", "id"], "ts")
-        ingest.append_table(kept, store, progress, available_now=True).awaitTermination()
-        return sorted((r["stock"], r["id"]) for r in spark.read.parquet(store).collect())
+        ingest.ingest_updates(stream, store, progress, available_now=True).awaitTermination()
+        return sorted((r["stock"], r["id"]) for r in ingest.read_updates(spark, store, ["stock", "id"]).collect())
 
     def rows(first, last, copies):
         ids = spark.range(first, last).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
@@ -86,6 +91,28 @@ def test_resent_rows_are_dropped_over_batches(spark, tmp_path):
     assert run(rows(0, 8, 3)) == [("A", i) for i in range(8)]
 
 
+def test_live_bars_leave_the_state_and_late_ticks_are_repaired(spark, tmp_path):
+    folder, topic, progress = (str(tmp_path / n) for n in ("ticks", "bars", "progress"))
+    schema = "stock string, ts timestamp, event_id long, price double"
+    import datetime as dt
+
+    def ticks(stock, days):
+        return [(stock, dt.datetime(2024, 1, d, 10), d, float(d)) for d in days]
+
+    for part in (ticks("A", range(1, 5)), ticks("A", [20]), ticks("A", [21]), ticks("B", range(1, 5))):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    query = ingest.publish_live_bars(stream, topic, progress, available_now=True)
+    query.awaitTermination()
+    removed = sum(s["numRowsRemoved"] for p in query.recentProgress for s in p["stateOperators"])
+    assert removed > 0
+    stored = spark.read.schema(schema).parquet(folder)
+    assert ingest.repair_bars(stored, topic) == 4
+    assert ingest.repair_bars(stored, topic) == 0
+    sent = messages.parse_messages(spark.read.parquet(topic), keep=["batch"])
+    assert last_per_key(sent, ["stock", "date"], ["batch"]).count() == 10
+
+
 def test_live_bars_grow_with_later_ticks(spark, tmp_path):
     folder, topic, progress = (str(tmp_path / n) for n in ("ticks", "bars", "progress"))
 

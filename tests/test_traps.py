@@ -72,17 +72,30 @@ def test_nan_is_missing(spark):
 
 def test_decimal_overflow_and_rounding(spark):
     rows = bar_rows(spark, [("a", 1.005, 2.675, 0.125, -0.125, 150000000.0)])
-    row = clean.to_decimals(rows).first()
+    row = clean.to_decimals(rows, volume_precision=10).first()
     assert [str(row[c]) for c in MEASURES[:4]] == ["1.01", "2.68", "0.13", "-0.13"]
     assert row["Volume"] is None
-    assert str(clean.to_decimals(rows, volume_precision=20).first()["Volume"]) == "150000000.00"
+    assert str(clean.to_decimals(rows).first()["Volume"]) == "150000000.00"
 
 
-def test_rows_without_features_are_skipped(spark):
+def test_rows_without_features_are_an_error_unless_skipped(spark):
     rows = bar_rows(spark, [("a", 1.0, 1.0, 1.0, 1.0, None), ("b", 1.0, 1.0, 1.0, 1.0, 1.0)])
-    assert model.assemble(rows).count() == 1
+    assert model.assemble(rows, on_missing="skip").count() == 1
     with pytest.raises(Exception, match="(?i)null"):
-        model.assemble(rows, on_missing="error").collect()
+        model.assemble(rows).collect()
+
+
+def test_session_times_in_any_session_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("America/New_York", "Asia/Tokyo", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            instants = [F.timestamp_seconds(F.lit(s)) for s in (1704207600, 1704229200)]  # 15:00, 21:00 UTC
+            bare = [F.lit(t).cast("timestamp_ntz") for t in ("2024-01-02 15:00:00", "2024-01-02 21:00:00")]
+            row = spark.range(1).select(*[times.market_open(t) for t in [*instants, *bare]]).first()
+            assert list(row) == [True, False, True, False]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_dates_of_zoned_text(spark):
@@ -125,12 +138,18 @@ def test_session_in_a_named_zone_and_now(spark):
 
 
 def test_messages_good_bad_and_nan(spark):
-    good = '{"stock":"A","date":"d","open":NaN,"high":1.0,"low":null,"close":"x","volume":2}'
-    sent = spark.createDataFrame([("oops",), ('{"open":"x"}',), (good,)], "value string")
-    assert {r["value"] for r in messages.rejected(sent).collect()} == {"oops", '{"open":"x"}'}
-    row = messages.accepted(sent).first()
-    assert math.isnan(row["Open"]) and row["High"] == 1.0 and row["Low"] is None
-    assert row["Close"] is None and row["Volume"] == 2.0
+    good = '{"stock":"A","date":"d","open":NaN,"high":1.0,"low":null,"close":3,"volume":2}'
+    bad = [
+        "oops", '{"open":"x"}', '{"stock":"A"}', '{"date":"d","open":1}', '{"stock":"A","date":"d","close":"x"}',
+        '{"stock":"A","date":"d","open":"x","high":"x","low":"x","close":"x","volume":"x"}',
+        '{"stock":"A","date":"d","open":1} and more', '{"stock":"A","date":"d"}{"stock":"A","date":"d"}', None, "",
+    ]
+    sent = spark.createDataFrame([(m,) for m in [*bad, good]], "value string")
+    assert {r["value"] for r in messages.rejected(sent).collect()} == set(bad)
+    row = messages.accepted(sent).collect()
+    assert len(row) == 1 and row[0].asDict().keys() == {"Date", *MEASURES, "stock"}
+    assert math.isnan(row[0]["Open"]) and row[0]["High"] == 1.0 and row[0]["Low"] is None
+    assert row[0]["Close"] == 3.0 and row[0]["Volume"] == 2.0
 
 
 def test_null_measures_stay_in_messages(spark):

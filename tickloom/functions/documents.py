@@ -29,9 +29,15 @@ def to_json(*columns: Column | str, pretty: bool = False, keep_nulls: bool = Tru
     return F.to_json(F.struct(*columns), options)
 
 
-def from_json(text: Column, schema: StructType) -> Column:
-    """Permissive parse: wrong-typed fields and malformed documents give nulls, never an error."""
-    return F.from_json(text, schema, {"mode": "PERMISSIVE"})
+def from_json(text: Column, schema: StructType, damaged: str | None = None) -> Column:
+    """Permissive parse: wrong-typed fields and malformed documents give nulls, never an error.
+
+    ``damaged`` names a string field of the schema that takes the text where that happened.
+    """
+    options = {"mode": "PERMISSIVE"}
+    if damaged:
+        options["columnNameOfCorruptRecord"] = damaged
+    return F.from_json(text, schema, options)
 
 
 def json_path(document: Column, path: str) -> Column:

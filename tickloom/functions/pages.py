@@ -6,41 +6,17 @@ comments, with character references decoded.
 """
 
 import re
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NO_DATA = "No Data Available"
 
-# Character references decoded by name; numeric ones are computed.
-NAMED_REFERENCES = {
-    "&amp;": "&",
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&apos;": "'",
-    "&nbsp;": " ",
-    "&cent;": "¢",
-    "&pound;": "£",
-    "&yen;": "¥",
-    "&copy;": "©",
-    "&laquo;": "«",
-    "&reg;": "®",
-    "&deg;": "°",
-    "&middot;": "·",
-    "&raquo;": "»",
-    "&times;": "×",
-    "&ndash;": "–",
-    "&mdash;": "—",
-    "&lsquo;": "‘",
-    "&rsquo;": "’",
-    "&ldquo;": "“",
-    "&rdquo;": "”",
-    "&bull;": "•",
-    "&hellip;": "…",
-    "&euro;": "€",
-    "&trade;": "™",
-}
+# Character references by name: the standard table, with blanks that never break as plain ones.
+NAMED_REFERENCES = {f"&{name}": text for name, text in html5.items() if name.endswith(";")} | {"&nbsp;": " "}
+_SEPARATOR = "\x01"
+_REFERENCE_TABLE = "".join(f"{k}{v}{_SEPARATOR}" for k, v in NAMED_REFERENCES.items())
 
 # Fields of a company page, the class of the div holding each, and its position.
 PROFILE_FIELDS = [
@@ -59,8 +35,14 @@ PROFILE_FIELDS = [
 # A field read only after its partner was found.
 PAIRED_WITH = {"n1": "np1", "n2": "np2"}
 
-# Parts of a page whose content is not markup: comments and raw-text elements.
-_NOT_MARKUP = r"<(?s:!--.*?-->|(?i:(script|style|template))\b[^>]*>.*?</(?i:\1)\s*>)"
+# The rest of a tag up to its end, stepping over quoted values. Quotes are written as codes, as the
+# patterns stand inside quoted SQL text.
+_REST_OF_TAG = r"(?:[^\x22\x27>]++|\x22[^\x22]*+\x22|\x27[^\x27]*+\x27)*+>"
+
+# Parts of a page whose content is not markup: comments and raw-text elements; unclosed ones reach to the end.
+_NOT_MARKUP = (
+    r"<(?s:!--.*?(?:-->|\z)|(?i:(script|style|template))\b" + _REST_OF_TAG + r".*?(?:</(?i:\1)\s*>|\z))"
+)
 
 
 def markup(html: Column) -> Column:
@@ -74,19 +56,21 @@ def tag_pieces(page: Column, tag: str) -> Column:
 
 
 def _opening(tag: str, class_: str | None) -> str:
-    """Pattern of an opening tag; a class with a space must equal the attribute, a plain one be in its list."""
+    """Pattern of an opening tag; several classes must be the whole attribute, a single one be in its list."""
     if class_ is None:
         return rf"<{tag}[\s/>]"
-    # Tags and attributes are case-insensitive, class names are not.
-    name = "(?-i:" + re.escape(class_).replace("'", r"\x27") + ")"
-    whole = " " in class_
+    # Tags and attributes are case-insensitive, class names are not. Blanks between names may be any.
+    name = "(?-i:" + r"\s+".join(re.escape(c).replace("'", r"\x27") for c in class_.split()) + ")"
+    whole = len(class_.split()) > 1
     values = []
-    for quote in ('"', r"\x27"):
-        inner = name if whole else rf"(?:[^{quote}]*\s)?{name}(?:\s[^{quote}]*)?"
+    for quote in (r"\x22", r"\x27"):
+        inner = rf"\s*{name}\s*" if whole else rf"(?:[^{quote}]*\s)?{name}(?:\s[^{quote}]*)?"
         values.append(quote + inner + quote)
     if not whole:
         values.append(rf"{name}(?=[\s>])")
-    return rf"<{tag}\s(?:[^>]*?\s)?class\s*=\s*(?:{'|'.join(values)})"
+    value = r"(?:\x22[^\x22]*+\x22|\x27[^\x27]*+\x27|[^\s\x22\x27>]++)"
+    others = rf"(?:[\s/]*+(?!class\s*=)[^\s\x22\x27>=/]++(?:\s*+=\s*+{value})?+)*+"
+    return rf"<{tag}(?=[\s/]){others}[\s/]*+class\s*=\s*(?:{'|'.join(values)})"
 
 
 # The expressions below nest higher-order functions, so they are written as SQL text. ``transform(array(x),
@@ -103,21 +87,23 @@ def _code_point(number: str) -> str:
 
 
 def _decoded(text: str) -> str:
-    names = ", ".join(f"{_quoted(k)}, {_quoted(v)}" for k, v in NAMED_REFERENCES.items())
+    # The name is looked up in one text that holds the whole table.
+    table, end = _quoted(_REFERENCE_TABLE), _quoted(_SEPARATOR)
+    named = f"if(contains({table}, k), substring_index(substring_index({table}, k, -1), {end}, 1), k)"
     hexadecimal = "CAST(conv(substring(k, 4, length(k) - 4), 16, 10) AS BIGINT)"
     decimal = "CAST(substring(k, 3, length(k) - 3) AS BIGINT)"
     token = f"""CASE
-      WHEN NOT startswith(k, '&') THEN k
+      WHEN NOT startswith(k, '&') OR length(k) < 3 THEN k
       WHEN k RLIKE r'^&#[xX][0-9a-fA-F]{{1,8}};$' THEN {_code_point(hexadecimal)}
       WHEN k RLIKE r'^&#[0-9]{{1,9}};$' THEN {_code_point(decimal)}
-      ELSE coalesce(try_element_at(map({names}), k), k) END"""
+      ELSE {named} END"""
     tokens = f"regexp_extract_all({text}, r'(?s)(&#?[0-9a-zA-Z]{{1,32}};|[^&]+|&)', 1)"
     return f"if(contains({text}, '&'), array_join(transform({tokens}, k -> {token}), ''), {text})"
 
 
 def _plain(markup_text: str) -> str:
     """Markup to text: without tags, each character reference decoded exactly once."""
-    stripped = f"regexp_replace({markup_text}, r'<[/!?a-zA-Z][^>]*>', '')"
+    stripped = f"regexp_replace({markup_text}, r'<[/!?a-zA-Z]{_REST_OF_TAG}', '')"
     return f"transform(array({stripped}), t -> {_decoded('t')})[0]"
 
 

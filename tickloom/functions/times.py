@@ -14,11 +14,18 @@ def _minutes(clock: str) -> int:
     return int(hours) * 60 + int(minutes)
 
 
+def utc(ts: Column) -> Column:
+    """A time without zone in UTC, whatever the session's zone: zoned times are converted, others are UTC."""
+    bare = ts.cast("timestamp_ntz")
+    converted = F.convert_timezone(F.current_timezone(), F.lit("UTC"), bare)
+    return F.when(F.typeof(ts) == "timestamp", converted).otherwise(bare)
+
+
 def exchange_time(ts: Column, offset_hours: int = EXCHANGE_OFFSET_HOURS, zone: str | None = None) -> Column:
     """Shift UTC to exchange time by a fixed offset, or by a named zone with daylight saving."""
     if zone is not None:
-        return F.convert_timezone(F.lit("UTC"), F.lit(zone), ts.cast("timestamp_ntz"))
-    return ts + F.expr(f"INTERVAL '{offset_hours}' HOUR")
+        return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc(ts))
+    return utc(ts) + F.expr(f"INTERVAL '{offset_hours}' HOUR")
 
 
 def market_open(
@@ -29,8 +36,7 @@ def market_open(
     zone: str | None = None,
 ) -> Column:
     """Weekday and opens <= time of day < closes; a missing time means now."""
-    now = F.current_timestamp().cast("timestamp_ntz")
-    local = exchange_time(F.coalesce(ts.cast("timestamp_ntz"), now), offset_hours, zone)
+    local = exchange_time(F.coalesce(utc(ts), utc(F.current_timestamp())), offset_hours, zone)
     minute = F.hour(local) * 60 + F.minute(local)
     return (F.weekday(local) < 5) & (minute >= _minutes(opens)) & (minute < _minutes(closes))
 

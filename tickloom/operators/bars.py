@@ -20,13 +20,15 @@ def ohlc_bars(
     are combined before the shuffle, so a hot symbol sends one row per bar and input task.
     """
     order = F.col(ts) if tie_break is None else F.struct(ts, tie_break)
-    return ticks.groupBy("stock", F.window(ts, interval).start.alias("bar_start")).agg(
+    # Grouped by the window itself: its end is what lets a stream's state expire.
+    bars = ticks.groupBy("stock", F.window(ts, interval).alias("__window")).agg(
         F.min_by(price, order).alias("open"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),
         F.max_by(price, order).alias("close"),
         F.count("*").cast("double").alias("volume"),
     )
+    return bars.select("stock", F.col("__window.start").alias("bar_start"), "open", "high", "low", "close", "volume")
 
 
 def latest_per_symbol(df: DataFrame, order: list[str], columns: list[str], key: str = "stock") -> DataFrame:

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from tickloom.functions.texts import money
 from tickloom.schemas import MEASURES
 
+# Volumes pass the ten digits of prices.
+VOLUME_PRECISION = 20
+
 
 def not_null(df: DataFrame, column: str = "Open") -> DataFrame:
     return df.filter(F.col(column).isNotNull())
@@ -32,11 +35,11 @@ def flag_closed(df: DataFrame, measures: list[str] = MEASURES) -> DataFrame:
 
 def to_decimals(
     df: DataFrame, measures: list[str] = MEASURES, precision: int = 10, scale: int = 2,
-    volume_precision: int | None = None,
+    volume_precision: int = VOLUME_PRECISION,
 ) -> DataFrame:
-    """Measures as decimals, null where too large; volumes may get a wider type."""
+    """Measures as decimals, null where too large; volumes get a wider type than prices."""
     widths = {c: precision for c in measures}
-    if volume_precision and "Volume" in widths:
+    if "Volume" in widths:
         widths["Volume"] = volume_precision
     return df.withColumns({c: money(F.col(c), w, scale) for c, w in widths.items()})
 
@@ -45,7 +48,7 @@ def clean_bars(
     df: DataFrame,
     policy: str = "fill",
     flag_before_fill: bool = True,
-    volume_precision: int | None = None,
+    volume_precision: int = VOLUME_PRECISION,
 ) -> DataFrame:
     """The cleaning chain: missing values, decimals, flag.
 

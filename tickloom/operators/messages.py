@@ -2,10 +2,13 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tickloom.functions.documents import from_json, to_json
 from tickloom.schemas import BAR_MESSAGE, MEASURES
 
+_DAMAGED = "__damaged"
+
 
 def bar_to_message(bars: DataFrame, date: Column, symbol: Column) -> DataFrame:
     """Stored bar columns to message fields; columns outside the message are dropped."""
@@ -31,21 +34,30 @@ def parse_messages(messages: DataFrame, value: str = "value", keep: list[str] |
 
 
 def _readable(value: str) -> Column:
-    """The message as an array of one, or of none if it has no readable symbol.
+    """The message as an array of one, or of none if it is not a whole, well-typed message.
 
-    Testing the symbol inside the array parses each text once; a filter on a parsed column would be moved
-    before the parsing and parse a second time.
+    Symbol and date must be there, and nothing may follow the object; a field of another type is a fault,
+    a ``null`` measure is not. Testing inside the array parses each text once; a filter on a parsed column
+    would be moved before the parsing and parse a second time.
     """
-    return F.filter(F.array(from_json(F.col(value), BAR_MESSAGE)), lambda m: m["stock"].isNotNull())
+    text = F.col(value)
+    parsed = from_json(text, StructType([*BAR_MESSAGE.fields, StructField(_DAMAGED, StringType())]), damaged=_DAMAGED)
+    # Not-a-number is no JSON, but a measure like any other here.
+    plain = F.regexp_replace(text, r":\s*-?(NaN|Infinity)\b", ":null")
+    single = F.json_array_length(F.concat(F.lit("["), plain, F.lit("]"))) == 1
+    return F.filter(
+        F.array(parsed),
+        lambda m: m["stock"].isNotNull() & m["date"].isNotNull() & m[_DAMAGED].isNull() & single,
+    )
 
 
 def accepted(messages: DataFrame, value: str = "value") -> DataFrame:
     """Readable messages as stored bars: Date, Open, High, Low, Close, Volume, stock."""
-    return messages.select(F.inline(_readable(value))).select(
+    return messages.select(F.inline(_readable(value))).drop(_DAMAGED).select(
         F.col("date").alias("Date"), *[F.col(c.lower()).alias(c) for c in MEASURES], "stock"
     )
 
 
 def rejected(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Raw text of messages without a readable symbol."""
-    return messages.filter(F.size(_readable(value)) == 0).select(value)
+    """Raw text of all other messages, a missing text included."""
+    return messages.filter(F.coalesce(F.size(_readable(value)), F.lit(0)) < 1).select(value)

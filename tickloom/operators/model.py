@@ -17,8 +17,8 @@ from tickloom.schemas import FEATURES, LABEL
 COLLINEAR = 1e-10
 
 
-def assemble(df: DataFrame, features: list[str] = FEATURES, on_missing: str = "skip") -> DataFrame:
-    """Add the ``features`` vector; rows with a missing feature are skipped (or ``keep`` / ``error``)."""
+def assemble(df: DataFrame, features: list[str] = FEATURES, on_missing: str = "error") -> DataFrame:
+    """Add the ``features`` vector; a row with a missing feature is an error (or ``skip`` / ``keep``)."""
     return VectorAssembler(inputCols=features, outputCol="features", handleInvalid=on_missing).transform(df)
 
 

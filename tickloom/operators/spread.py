@@ -15,6 +15,8 @@ BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Rows of one key a single join task should handle in the salted join.
 ROWS_PER_SLICE = 5_000_000
+# Slices of every key where the hot ones are too many to list.
+ALL_SLICES = 32
 
 
 def key_of(keys: list[str]) -> Column:
@@ -59,12 +61,17 @@ def attach_per_key(
 
     slices = F.ceil(F.col(count_col) / F.lit(rows_per_slice)).cast("int")
     hot = per_key.filter(F.col(count_col) > rows_per_slice).select(*keys, slices.alias("__slices"))
-    if fits_broadcast(hot, broadcast_rows):
-        hot = F.broadcast(hot)
     # The partition number also spreads exact copies of a row, and stays the same when a task is re-run.
-    spread = F.xxhash64(*rows.columns) + F.spark_partition_id()
-    salt = F.pmod(spread, F.coalesce("__slices", F.lit(1))).cast("int")
-    salted = join_on_keys(rows, hot, keys).withColumn("__salt", salt).drop("__slices")
+    # Maps and variants have no hash.
+    hashable = [c for c, kind in rows.dtypes if "map<" not in kind and "variant" not in kind]
+    spread = F.xxhash64(*hashable) + F.spark_partition_id()
+    if fits_broadcast(hot, broadcast_rows):
+        salt = F.pmod(spread, F.coalesce("__slices", F.lit(1))).cast("int")
+        salted = join_on_keys(rows, F.broadcast(hot), keys).withColumn("__salt", salt).drop("__slices")
+    else:
+        # Too many hot keys to tell them apart without a shuffle on the key: all keys are salted alike.
+        slices = F.lit(ALL_SLICES)
+        salted = rows.withColumn("__salt", F.pmod(spread, slices).cast("int"))
     copies = per_key.withColumn(
         "__salt", F.explode(F.sequence(F.lit(0), F.greatest(slices, F.lit(1)) - 1))
     )

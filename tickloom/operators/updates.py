@@ -33,23 +33,19 @@ def last_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(row).select(*keys, "row.*").select(*df.columns)
 
 
-def history_then_live(history: DataFrame, live: DataFrame, keys: list[str]) -> DataFrame:
-    """Backfilled rows followed by live rows; where both have a key, the live row counts."""
-    both = union_all([history.withColumn("__live", F.lit(0)), live.withColumn("__live", F.lit(1))])
-    return last_per_key(both, keys, ["__live"]).drop("__live")
-
-
-def drop_resent(
-    stream: DataFrame, keys: list[str], event_time: str, delay: str = "1 day", slices: int = 16
+def history_then_live(
+    history: DataFrame, live: DataFrame, keys: list[str], arrival: list[str] | None = None
 ) -> DataFrame:
-    """Streaming: the first arrival per key; state is kept for ``delay`` past the newest event time.
+    """Backfilled rows followed by live rows; where both have a key, the live row counts.
 
-    Many copies of one key are first reduced in ``slices`` tasks, so the task that holds the key sees at
-    most one copy from each. The seeded slice of a row repeats when a task is re-run, as sources deliver
-    a partition in the same order again.
+    Of several live versions of a key the last by the ``arrival`` columns (in both tables) counts. Without
+    them the live rows must be unique per key; should they not be, the largest row counts, on every run.
     """
-    sliced = stream.withWatermark(event_time, delay).withColumn(
-        "__slice", F.floor(F.rand(seed=1) * slices)
-    )
-    fewer = sliced.dropDuplicatesWithinWatermark([*keys, "__slice"]).drop("__slice")
-    return fewer.dropDuplicatesWithinWatermark(keys)
+    both = union_all([history.withColumn("__live", F.lit(0)), live.withColumn("__live", F.lit(1))])
+    rest = [c for c in history.columns if c not in keys]
+    return last_per_key(both, keys, ["__live", *(arrival or rest)]).drop("__live")
+
+
+def current_rows(stored: DataFrame, keys: list[str], arrival: list[str]) -> DataFrame:
+    """The last stored version of each key by its ``arrival`` columns, which are dropped."""
+    return last_per_key(stored, keys, arrival).drop(*arrival)

@@ -5,9 +5,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.times import iso_text
-from tickloom.operators import model
+from tickloom.operators import clean, model
+from tickloom.operators.bars import bar_table
+from tickloom.operators.spread import join_on_keys
 from tickloom.plans.registry import query
 from tickloom.plans.tables import BARS, bars
+from tickloom.schemas import FEATURES, LABEL
 from tickloom.storage import materialise
 
 FEATURE_COLUMNS = ["open", "high", "low", "volume"]
@@ -83,13 +86,23 @@ def split_by_key(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query()
+@query(
+    BARS
+    + """ SELECT stock, bar_start, 1 AS parts, true AS share_in_bounds FROM bars"""
+)
 def split_random(spark: SparkSession, folder: str) -> DataFrame:
-    """Sizes of a seeded random split; the rows drawn depend on the layout, so there is no check SQL."""
-    train, test = model.split_random(bars(spark, folder), 0.7, seed=42)
-    return train.agg(F.lit("train").alias("part"), F.count("*").alias("n")).unionByName(
-        test.agg(F.lit("test").alias("part"), F.count("*").alias("n"))
-    )
+    """A seeded random split of written rows: every bar is in one part, and the shares are near 70 and 30.
+
+    Which rows are drawn depends on the layout, so the check is on what every split must satisfy.
+    """
+    rows = materialise(bars(spark, folder).select("stock", "bar_start"), "split-rows")
+    train, test = model.split_random(rows, 0.7, seed=42)
+    both = train.withColumn("in_train", F.lit(1)).unionByName(test.withColumn("in_train", F.lit(0)))
+    drawn = both.agg(F.avg("in_train").alias("share"), F.count("*").alias("n")).first()
+    # Four standard errors of a share drawn row by row.
+    near = bool(drawn["n"] and abs(drawn["share"] - 0.7) < 4 * (0.21 / drawn["n"]) ** 0.5)
+    parts = both.groupBy("stock", "bar_start").agg(F.count("*").cast("int").alias("parts"))
+    return parts.withColumn("share_in_bounds", F.lit(near))
 
 
 # Predictions at the origin and one step along each feature give intercept and coefficients.
@@ -170,6 +183,24 @@ def score_new_rows(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select(F.round("prediction", DIGITS).alias("prediction"))
 
 
+@query(
+    BARS
+    + """ SELECT count(*) AS n, true AS fitted, round(regr_slope(v, v), 4) AS volume_kept
+FROM (SELECT CAST(volume * 100000000 AS DECIMAL(20, 2))::DOUBLE AS v FROM bars)"""
+)
+def pooled_model_cleaned(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean, assemble, fit and score with volumes beyond the range of prices: no bar is lost on the way."""
+    wide = bar_table(bars(spark, folder), iso_text(F.col("bar_start"))).withColumn("Volume", F.col("Volume") * 1e8)
+    cleaned = clean.clean_bars(wide)
+    rows = materialise(cleaned.select(*[F.col(c).cast("double").alias(c) for c in [*FEATURES, LABEL]]), "cleaned")
+    scored = model.score(model.fit(model.assemble(rows)), rows)
+    return scored.agg(
+        F.count("*").alias("n"),
+        (F.count("prediction") == F.count("*")).alias("fitted"),
+        F.round(F.regr_slope("Volume", "Volume"), DIGITS).alias("volume_kept"),
+    )
+
+
 @query(
     BARS
     + """ SELECT stock, count(*) AS n, round(regr_intercept(close, high), 4) AS intercept,
@@ -182,7 +213,7 @@ def ols_per_symbol(spark: SparkSession, folder: str) -> DataFrame:
     models = model.least_squares_per_key(rows, ["stock"], ["high"], "close")
     scored = model.score_per_key(rows, models, ["stock"], ["high"])
     errors = model.rmse(scored, ["stock"], "close")
-    return models.join(errors, "stock").select(
+    return join_on_keys(models, errors, ["stock"], "inner").select(
         "stock",
         "n",
         F.round("intercept", DIGITS).alias("intercept"),

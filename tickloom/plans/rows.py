@@ -103,7 +103,7 @@ CAST(TRY_CAST("Volume" * 60000000 AS DECIMAL(10,2)) AS DOUBLE) AS "Volume" FROM
 def cast_decimal(spark: SparkSession, folder: str) -> DataFrame:
     """Volumes are scaled so that some no longer fit the decimal type."""
     rows = feed_table(spark, folder).withColumn("Volume", F.col("Volume") * 60000000)
-    return _decimals_as_double(clean.to_decimals(rows))
+    return _decimals_as_double(clean.to_decimals(rows, volume_precision=10))
 
 
 @query(

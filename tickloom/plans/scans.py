@@ -135,8 +135,8 @@ def symbol_universe(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     FEED
-    + f""" SELECT '{SYMBOL}' AS "Stock", "Date", "Open", "Close" FROM feed_table WHERE stock = '{SYMBOL}'"""
+    + f""" SELECT '{SYMBOL}' AS "Stock", "Date", "Open", "Close" FROM feed_table"""
 )
 def literal_symbol_column(spark: SparkSession, folder: str) -> DataFrame:
-    one = feed_table(spark, folder).filter(F.col("stock") == SYMBOL).select("Date", "Open", "Close")
-    return one.withColumn("Stock", F.lit(SYMBOL))
+    every = feed_table(spark, folder).select("Date", "Open", "Close")
+    return every.withColumn("Stock", F.lit(SYMBOL))

@@ -91,17 +91,17 @@ def sink_json_snapshot(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     TICKS
     + bars_sql("1 day")
-    + """ SELECT strftime(bar_start, '%Y-%m-%dT%H:%M:%S') AS "Date", open, high, low, close, volume
-FROM bars WHERE stock = 'click'"""
+    + """ SELECT strftime(bar_start, '%Y-%m-%dT%H:%M:%S') AS "Date", stock, open, high, low, close, volume
+FROM bars"""
 )
 def sink_csv_table(spark: SparkSession, folder: str) -> DataFrame:
     """A whole daily table with its date first, written over an older copy."""
     path = new_path(spark, "table")
-    daily = ohlc_bars(ticks(spark, folder).filter(F.col("stock") == "click"), "1 day")
-    dated = daily.drop("stock").withColumn("Date", iso_text(F.col("bar_start"))).drop("bar_start")
+    daily = ohlc_bars(ticks(spark, folder), "1 day")
+    dated = daily.withColumn("Date", iso_text(F.col("bar_start"))).drop("bar_start")
     write_table_csv(dated.filter(F.col("Date") < SPLIT_AT), path, "Date")
     write_table_csv(dated, path, "Date")
-    columns = "Date string, open double, high double, low double, close double, volume double"
+    columns = "Date string, stock string, open double, high double, low double, close double, volume double"
     return spark.read.schema(columns).option("header", True).csv(path)
 
 

@@ -1,16 +1,16 @@
 """Streaming queries, worked off to the end and read back."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.times import parse_time
 from tickloom.operators import messages
-from tickloom.operators.updates import drop_resent, last_per_key
+from tickloom.operators.updates import last_per_key
 from tickloom.plans.registry import query
 from tickloom.plans.tables import FEED, SESSION, TICKS, bars_sql, feed_table, table, ticks
 from tickloom.schemas import MEASURES, TICK_TABLE
 from tickloom.sinks.messages import publish_files
-from tickloom.sources.files import read_all_symbols
+from tickloom.sources.files import load_symbol, read_all_symbols
 from tickloom.sources.streams import file_messages, table_stream
 from tickloom.storage import new_path
 from tickloom.streaming import ingest
@@ -86,7 +86,7 @@ def stream_latest_per_symbol(spark: SparkSession, folder: str) -> DataFrame:
         new_path(spark, "progress"),
         available_now=True,
     ).awaitTermination()
-    return spark.read.parquet(store).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return ingest.read_latest(spark, store).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query(
@@ -103,23 +103,58 @@ def stream_heartbeats(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(store).select("stock", F.col("date").cast("timestamp_ntz").alias("date"))
 
 
+def _in_batches(spark: SparkSession, rows: DataFrame, parts: int, part: Column) -> DataFrame:
+    """``rows`` as a stream of ``parts`` micro-batches, in the order of ``part`` (0 to ``parts`` - 1)."""
+    topic = new_path(spark, "rows")
+    for number in range(parts):
+        rows.filter(part == number).coalesce(1).write.mode("append").parquet(topic)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(topic)
+
+
+def _zoned_ticks(spark: SparkSession, folder: str) -> DataFrame:
+    return ticks(spark, folder).drop("props").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 @query(TICKS + " SELECT stock, ts, price, event_id FROM ticks")
 def stream_updates_only(spark: SparkSession, folder: str) -> DataFrame:
-    """Every tick arrives twice, as after a restart of the sender; each is kept once."""
+    """Every tick arrives twice, in different micro-batches, as after a restart of the sender."""
     store = new_path(spark, "updates")
-    twice = _event_stream(spark, folder).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    kept = drop_resent(twice, ["stock", "ts", "event_id"], "ts")
-    ingest.append_table(kept, store, new_path(spark, "progress"), available_now=True).awaitTermination()
-    return spark.read.parquet(store).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    twice = _zoned_ticks(spark, folder).withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    part = F.pmod(F.col("event_id") + F.col("copy"), F.lit(3))
+    stream = _in_batches(spark, twice, 3, part).drop("copy")
+    ingest.ingest_updates(stream, store, new_path(spark, "progress"), available_now=True).awaitTermination()
+    kept = ingest.read_updates(spark, store, ["stock", "ts", "event_id"])
+    return kept.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query(TICKS + " SELECT stock, date_trunc('hour', ts) AS hour, arg_max(price, row(ts, event_id)) AS price FROM ticks GROUP BY ALL")
+def stream_updates_last(spark: SparkSession, folder: str) -> DataFrame:
+    """One symbol after another over the same days, every value revised by the next tick of its hour."""
+    store = new_path(spark, "revisions")
+    rows = _zoned_ticks(spark, folder).withColumn("hour", F.date_trunc("hour", "ts"))
+    part = F.pmod(F.xxhash64("stock"), F.lit(4))
+    stream = _in_batches(spark, rows, 4, part)
+    ingest.ingest_updates(
+        stream, store, new_path(spark, "progress"), order=["ts", "event_id"], available_now=True
+    ).awaitTermination()
+    compact = new_path(spark, "compact")
+    ingest.compact_updates(spark, store, compact, ["stock", "hour"])
+    last = spark.read.parquet(compact)
+    return last.select("stock", F.col("hour").cast("timestamp_ntz").alias("hour"), "price")
 
 
 @query(TICKS + bars_sql("2 minutes") + " SELECT * FROM bars")
 def stream_live_bars(spark: SparkSession, folder: str) -> DataFrame:
-    """Bars formed from the tick stream and published as messages; the last message of each bar counts."""
-    topic = new_path(spark, "bars")
-    ingest.publish_live_bars(
-        _event_stream(spark, folder), topic, new_path(spark, "progress"), available_now=True
-    ).awaitTermination()
+    """Bars from ticks that come symbol by symbol, in several micro-batches, published as messages.
+
+    All but the first symbols are late for the stream's state; their bars come from the stored ticks. The
+    last message of each bar counts.
+    """
+    topic, stored = new_path(spark, "bars"), new_path(spark, "stored-ticks")
+    stream = _in_batches(spark, _zoned_ticks(spark, folder), 3, F.pmod(F.xxhash64("stock"), F.lit(3)))
+    ingest.publish_live_bars(stream, topic, new_path(spark, "progress"), available_now=True).awaitTermination()
+    ingest.append_table(stream, stored, new_path(spark, "progress"), available_now=True).awaitTermination()
+    ingest.repair_bars(spark.read.parquet(stored), topic)
     sent = spark.read.parquet(topic)
     final = last_per_key(
         messages.parse_messages(sent.select("value", "batch"), keep=["batch"]), ["stock", "date"], ["batch"]
@@ -129,3 +164,16 @@ def stream_live_bars(spark: SparkSession, folder: str) -> DataFrame:
         parse_time(F.col("date")).cast("timestamp_ntz").alias("bar_start"),
         *[c.lower() for c in MEASURES],
     )
+
+
+@query(
+    FEED
+    + """ SELECT "Date", "Open", "High", "Low", "Close", "Volume" FROM feed_table WHERE stock = 'click'"""
+)
+def stored_symbol_bars(spark: SparkSession, folder: str) -> DataFrame:
+    """One symbol read back from the Parquet store that a stream wrote: only its folder is opened."""
+    topic, store = _publish_feed(spark, folder), new_path(spark, "store")
+    ingest.ingest_bars(
+        file_messages(spark, topic), store, new_path(spark, "progress"), available_now=True, file_format="parquet"
+    ).awaitTermination()
+    return load_symbol(spark, store, "click", partitioned=True, file_format="parquet")

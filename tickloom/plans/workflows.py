@@ -19,9 +19,11 @@ POOLED_SPLIT = (0.7, 42)
 SYMBOL_SPLIT = (0.8, 123)
 
 
-def cleaned_bars(spark: SparkSession, folder: str, partitioned: bool = False, **cleaning) -> DataFrame:
+def cleaned_bars(
+    spark: SparkSession, folder: str, partitioned: bool = False, file_format: str = "csv", **cleaning
+) -> DataFrame:
     """All symbols' bars, cleaned: missing values, decimals, closed-market flag."""
-    return clean.clean_bars(read_all_symbols(spark, folder, partitioned), **cleaning)
+    return clean.clean_bars(read_all_symbols(spark, folder, partitioned, file_format=file_format), **cleaning)
 
 
 def _fit_and_score(rows: DataFrame, share: float, seed: int) -> tuple[LinearRegressionModel, DataFrame, float]:
@@ -42,17 +44,23 @@ def pooled_model(
 
 
 def predict_symbol(
-    spark: SparkSession, folder: str, symbol: str, share: float = SYMBOL_SPLIT[0], seed: int = SYMBOL_SPLIT[1]
+    spark: SparkSession, folder: str, symbol: str, share: float = SYMBOL_SPLIT[0], seed: int = SYMBOL_SPLIT[1],
+    **store,
 ) -> tuple[DataFrame, float]:
-    """One symbol's model: (features, prediction, Close of held-out rows; RMSE)."""
-    rows = clean.drop_missing(load_symbol(spark, folder, symbol)).select(*FEATURES, LABEL)
+    """One symbol's model: (features, prediction, Close of held-out rows; RMSE).
+
+    ``store`` (partitioned, file_format) tells how the bars are stored.
+    """
+    rows = clean.drop_missing(load_symbol(spark, folder, symbol, **store)).select(*FEATURES, LABEL)
     _, predictions, error = _fit_and_score(rows, share, seed)
     return model.feature_array(predictions).select("features", "prediction", LABEL), error
 
 
-def dashboard_series(spark: SparkSession, folder: str, symbol: str, chart_types: list[str]) -> DataFrame:
+def dashboard_series(
+    spark: SparkSession, folder: str, symbol: str, chart_types: list[str], **store
+) -> DataFrame:
     """The series of the chosen charts of one symbol."""
-    return charts.selected_charts(load_symbol(spark, folder, symbol), chart_types, ["Date"])
+    return charts.selected_charts(load_symbol(spark, folder, symbol, **store), chart_types, ["Date"])
 
 
 def query_prices(spark: SparkSession, bars: DataFrame, sql: str | None = None, view: str = "stock") -> DataFrame:

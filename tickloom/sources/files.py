@@ -33,9 +33,14 @@ def read_bars_inferred(spark: SparkSession, path: str | list[str], null_value: s
     return spark.read.csv(path, header=True, inferSchema=True, nullValue=null_value)
 
 
-def load_symbol(spark: SparkSession, folder: str, symbol: str) -> DataFrame:
-    """All bars of one symbol from ``<folder>/<symbol>.csv``."""
-    return read_bars(spark, symbol_path(folder, symbol))
+def load_symbol(
+    spark: SparkSession, folder: str, symbol: str, partitioned: bool = False, file_format: str = "csv"
+) -> DataFrame:
+    """All bars of one symbol: from ``<folder>/<symbol>.csv``, or only its folder of a partitioned store."""
+    if not partitioned:
+        return read_bars(spark, symbol_path(folder, symbol))
+    every = read_all_symbols(spark, folder, partitioned=True, file_format=file_format)
+    return every.filter(F.col("Stock") == symbol).drop("Stock")
 
 
 def symbol_from_path(path: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def working_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a temporary one only for a local session without it."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

@@ -3,24 +3,28 @@
 ``available_now=True`` works off what is there and stops; otherwise the query polls at ``every``.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tickloom.functions.times import clock_text, iso_text, parse_time
+from tickloom.functions.times import clock_text, iso_text
 from tickloom.operators.bars import bar_table, latest_per_symbol, ohlc_bars
 from tickloom.operators.market import heartbeats
 from tickloom.operators.messages import (
     accepted,
     bar_to_message,
+    parse_messages,
     rejected,
     to_messages,
 )
-from tickloom.operators.updates import drop_resent
+from tickloom.operators.updates import current_rows
+from tickloom.schemas import MEASURES
 
 # Polling intervals of bars and of single quotes.
 BAR_TRIGGER = "10 seconds"
 QUOTE_TRIGGER = "30 seconds"
+# Columns that tell in which order stored updates arrived.
+ARRIVAL = ["batch", "position"]
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, available_now: bool, every: str) -> StreamingQuery:
@@ -42,21 +46,49 @@ def ingest_bars(
     available_now: bool = False,
     every: str = BAR_TRIGGER,
     file_format: str = "csv",
-    updates_within: str | None = None,
 ) -> StreamingQuery:
     """Parse bar messages and append them to the symbol's folder, exactly once.
 
-    ``updates_within`` (e.g. ``"30 days"``) drops bars sent again within that time; without it every
-    message is stored.
+    Every message is stored, also one sent again; ``ingest_updates`` keeps the order of arrival, so that
+    the last version of a bar can be told.
     """
-    bars = accepted(messages)
-    if updates_within is not None:
-        timed = bars.withColumn("__time", parse_time(F.col("Date")))
-        bars = drop_resent(timed, ["stock", "Date"], "__time", updates_within).drop("__time")
-    writer = _append(bars, folder, file_format).partitionBy("stock")
+    writer = _append(accepted(messages), folder, file_format).partitionBy("stock")
     return _start(writer, checkpoint, available_now, every)
 
 
+def ingest_updates(
+    rows: DataFrame,
+    folder: str,
+    checkpoint: str,
+    order: list[str] | None = None,
+    available_now: bool = False,
+    every: str = BAR_TRIGGER,
+) -> StreamingQuery:
+    """Store the rows of a stream with their order of arrival; ``read_updates`` gives the last per key.
+
+    Nothing is dropped: there is no watermark, so neither late rows nor revised values are lost, and no
+    key depends on the times of another. A trigger writes ``<folder>/batch=<n>/`` and replaces it if it is
+    repeated. Within a trigger rows are ordered by ``order`` (such as the offset), then by position.
+    """
+
+    def store(batch: DataFrame, number: int) -> None:
+        place = F.struct(*(order or []), F.monotonically_increasing_id().alias("at"))
+        batch.withColumn("position", place).write.mode("overwrite").parquet(f"{folder}/batch={number}")
+
+    return _start(rows.writeStream.foreachBatch(store), checkpoint, available_now, every)
+
+
+def read_updates(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:
+    """The last version of each key that ``ingest_updates`` has stored."""
+    return current_rows(spark.read.parquet(folder), keys, ARRIVAL)
+
+
+def compact_updates(spark: SparkSession, folder: str, target: str, keys: list[str], by: str = "stock") -> None:
+    """Write the last versions of a folder of updates to ``target``, in few files per value of ``by``."""
+    current = read_updates(spark, folder, keys)
+    current.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(target)
+
+
 def ingest_rejects(
     messages: DataFrame, folder: str, checkpoint: str, available_now: bool = False, every: str = BAR_TRIGGER
 ) -> StreamingQuery:
@@ -97,15 +129,25 @@ def publish_latest(
     available_now: bool = False,
     every: str = BAR_TRIGGER,
 ) -> StreamingQuery:
-    """Keep the newest row per symbol: one row of state each, the table replaced at every trigger."""
+    """Keep the newest row per symbol: one row of state each, a new version of the table at every trigger.
 
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(folder)
+    Versions are never overwritten, so ``read_latest`` meets a whole table at any time.
+    """
+
+    def publish(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/version={number}")
 
-    writer = latest_per_symbol(rows, order, columns).writeStream.outputMode("complete").foreachBatch(replace)
+    writer = latest_per_symbol(rows, order, columns).writeStream.outputMode("complete").foreachBatch(publish)
     return _start(writer, checkpoint, available_now, every)
 
 
+def read_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest complete version that ``publish_latest`` has written."""
+    versions = spark.read.parquet(folder)
+    newest = versions.agg(F.max("version")).first()[0]
+    return versions.filter(F.col("version") == newest).drop("version")
+
+
 def publish_live_bars(
     ticks: DataFrame,
     folder: str,
@@ -118,7 +160,8 @@ def publish_live_bars(
     """Form bars from a tick stream and publish each bar again whenever it changes.
 
     A trigger writes its messages to ``<folder>/batch=<n>/`` and replaces them if it is repeated, so the
-    last batch of a (symbol, date) holds its final bar. Bars older than ``delay`` leave the state.
+    last batch of a (symbol, date) holds its final bar. Bars older than ``delay`` leave the state; ticks
+    that come later than that are not seen here, so store the ticks as well and run ``repair_bars``.
     """
 
     def publish(batch: DataFrame, number: int) -> None:
@@ -130,6 +173,24 @@ def publish_live_bars(
     return _start(bars.writeStream.outputMode("update").foreachBatch(publish), checkpoint, available_now, every)
 
 
+def repair_bars(ticks: DataFrame, folder: str, interval: str = "2 minutes") -> int:
+    """Publish again, from all stored ``ticks``, the bars whose last message misses late ticks.
+
+    The messages form the next batch of ``folder``. Returns how many bars were wrong or missing.
+    """
+    spark = ticks.sparkSession
+    sent = spark.read.schema("key string, value string, batch long").parquet(folder)
+    last = current_rows(parse_messages(sent, keep=["batch"]).drop("value"), ["stock", "date"], ["batch"])
+    whole = bar_table(ohlc_bars(ticks, interval), iso_text(F.col("bar_start")))
+    whole = bar_to_message(whole, F.col("Date"), F.col("stock"))
+    measures = F.struct(*[c.lower() for c in MEASURES])
+    told = last.select("stock", "date", measures.alias("__sent"))
+    wrong = whole.join(told, ["stock", "date"], "left").filter(~measures.eqNullSafe(F.col("__sent"))).drop("__sent")
+    number = (sent.agg(F.max("batch")).first()[0] or 0) + 1
+    to_messages(wrong).write.mode("overwrite").parquet(f"{folder}/batch={number}")
+    return spark.read.parquet(f"{folder}/batch={number}").count()
+
+
 def append_table(
     rows: DataFrame, folder: str, checkpoint: str, available_now: bool = False, every: str = BAR_TRIGGER
 ) -> StreamingQuery:
