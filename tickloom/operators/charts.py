@@ -1,6 +1,6 @@
 """Chart-ready data. Drawing is left to the caller."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.operators.bars import ohlc_bars
@@ -19,8 +19,8 @@ CHART_TYPES = ["Line Chart", "Area Chart", "Bar Chart"]
 CHART_SERIES = ["Close", "High", "Low"]
 MAX_POINTS = 1000
 
-# Upper limit of tasks that hand rows to the merge of ``first_rows``.
-FIRST_ROWS_TASKS = 20_000
+# Groups of tasks that merge their first rows before the last merge.
+FIRST_ROWS_GROUPS = 200
 
 
 def symbol_series(df: DataFrame, symbol: str, column: str = "Close", date: str = "Date", key: str = "stock") -> DataFrame:
@@ -58,10 +58,13 @@ def candles(ticks: DataFrame, symbol: str, interval: str = "1 day") -> DataFrame
 def first_rows(df: DataFrame, order: list[str], n: int = MAX_POINTS) -> DataFrame:
     """The first ``n`` rows in a stated order.
 
-    Every task keeps its first ``n`` and one task merges them; the number of tasks is bounded, so what it
-    merges does not grow with the data.
+    In two levels: every task keeps its first ``n``, groups of tasks keep theirs, and the last merge sees
+    ``FIRST_ROWS_GROUPS * n`` rows however large the table is.
     """
-    return df.coalesce(FIRST_ROWS_TASKS).orderBy(*order).limit(n)
+    group = "__group"
+    grouped = df.withColumn(group, F.pmod(F.spark_partition_id(), F.lit(FIRST_ROWS_GROUPS)))
+    place = F.row_number().over(Window.partitionBy(group).orderBy(*order))
+    return grouped.withColumn("__place", place).filter(F.col("__place") <= n).drop(group, "__place").orderBy(*order).limit(n)
 
 
 def mean_per_x(df: DataFrame, x: str, y: str) -> DataFrame:
