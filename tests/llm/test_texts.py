@@ -135,6 +135,13 @@ def test_one_of_each_group_stays(docs_of):
     assert near.near_duplicates(docs_of([]), 5, 80).count() == 0
 
 
+def test_a_document_of_several_texts_is_linked_by_any(docs_of):
+    one, other, third = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, one), (1, other), (2, one + " end"), (3, other + " end"), (4, third), (1, one)]
+    got = {r["doc_id"]: r["component_id"] for r in near.near_duplicates(docs_of(rows), 3, 85).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
 def test_estimates_are_close():
     rng = np.random.default_rng(0)
     pool = rng.integers(0, 2**63, 4000).astype(np.uint64)

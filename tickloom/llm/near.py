@@ -290,11 +290,12 @@ def in_blocks(rows: DataFrame, key: str, weight: str, block: int) -> DataFrame:
 
 
 def forest(batches: Iterator[pa.RecordBatch], link) -> Iterator[pa.RecordBatch]:
-    """The links of each group of sorted batches (__task, node, ...)."""
+    """The links of each group of sorted batches (__task, node, ..., set as bytes), each set of a node once."""
     u, v = [], []
     for group in grouped(batches, 1):
         nodes = group.column(1).to_numpy()
-        _, first = np.unique(nodes, return_index=True)
+        sets = group.column(group.num_columns - 1).to_pylist()
+        first = list({(node, held): at for at, (node, held) in enumerate(zip(nodes.tolist(), sets, strict=True))}.values())
         if len(first) > 1:
             for a, b in link(group.take(pa.array(first))):
                 u.append(int(nodes[first[a]]))
@@ -377,8 +378,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     Documents are linked if 100 * intersection >= percent * union of their ``width``-word shingle sets;
     component_id is the smallest doc_id reachable, and the document that bears it is kept. Texts without
     words (null, empty, blank) are linked with nothing and kept. Rows with equal doc_id count as one
-    document, which has the sets of all of them; doc_id is taken as a whole number. Null doc_ids are
-    linked with nothing. An empty table gives an empty one; other columns are not read.
+    document, linked with whatever any of its texts is; doc_id is taken as a whole number. Null doc_ids
+    are linked with nothing. An empty table gives an empty one; other columns are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = materialise(signatures(docs, width, percent / 100), "signatures")
