@@ -52,6 +52,16 @@ def test_row_numbers(ticks, rows):
     assert {(r["stock"], r["event_id"]): (r["rn"], r["n"]) for r in got} == want
 
 
+def test_range_partitions_grow_with_the_rows(spark, ticks, rows):
+    asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = max(1, len(rows) // (4 * asked))
+    assert spread.range_partitions(ticks) == []
+    assert spread.range_partitions(ticks, size) == [-(-len(rows) // size)]
+    chunked = spread.ordered_chunks(ticks, ["stock"], ["ts", "event_id"], size)
+    assert chunked.select("__chunk").distinct().count() > 2 * asked
+    assert chunked.count() == len(rows)
+
+
 def test_running_total(ticks, rows):
     weighted = ticks.withColumn("w", F.col("event_id") % 5)
     chunked = spread.ordered_chunks(weighted, ["stock"], ["ts", "event_id"])

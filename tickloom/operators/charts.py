@@ -83,7 +83,7 @@ def stride_sample(
     micros = F.unix_micros(F.col(order[0]).cast("timestamp"))
     bucketed = df.withColumn("__bucket", F.floor(micros / F.lit(bucket_seconds * 1_000_000)))
     buckets = [*keys, "__bucket"]
-    counted = bucketed.groupBy(*buckets).agg(F.count("*").alias("__c"))
+    counted = materialise(bucketed.groupBy(*buckets).agg(F.count("*").alias("__c")), "counted")
     ranked = running_total(ordered_chunks(counted, keys, ["__bucket"]), keys, "__c", "__upto", "__n")
     first = F.col("__upto") - F.col("__c")
     step = F.greatest(F.lit(1), F.expr(f"__n div {max_points}"))
@@ -108,7 +108,7 @@ def box_summary(df: DataFrame, keys: list[str], value: str, whisker: float = 1.5
         .groupBy(*keys, F.col(value).alias("__v"))
         .agg(F.count("*").alias("__c"))
     )
-    chunked = ordered_chunks(counted, keys, ["__v"])
+    chunked = ordered_chunks(materialise(counted, "counted"), keys, ["__v"])
     ranked = running_total(chunked, keys, "__c", "__upto", "n")
 
     quartiles = {"q1": 0.25, "median": 0.5, "q3": 0.75}

@@ -17,6 +17,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 ROWS_PER_SLICE = 5_000_000
 # Slices of every key where the hot ones are too many to list.
 ALL_SLICES = 32
+# Rows of one range partition.
+ROWS_PER_CHUNK = 20_000_000
 
 
 def key_of(keys: list[str]) -> Column:
@@ -78,14 +80,26 @@ def attach_per_key(
     return join_on_keys(salted, copies, keys + ["__salt"], how).drop("__salt")
 
 
-def ordered_chunks(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def range_partitions(df: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> list[int]:
+    """How many range partitions the rows of ``df`` need, or nothing if the session's setting is enough."""
+    asked = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    needed = -(-df.count() // rows_per_chunk)
+    return [needed] if needed > asked else []
+
+
+def ordered_chunks(
+    df: DataFrame, keys: list[str], order: list[str], rows_per_chunk: int = ROWS_PER_CHUNK
+) -> DataFrame:
     """``df`` in order over all partitions: ``__chunk`` is the partition, ``__pos`` grows inside it.
 
-    Written once, because recomputing a range shuffle may choose other bounds. ``keys + order`` should
-    identify a row; should there be many rows with equal values, the partition they come from parts them.
+    ``df`` should be a written table, or a projection of one: it is counted, so that partitions stay within
+    ``rows_per_chunk`` whatever the session's setting, and read twice by the range shuffle. The result is
+    written, because recomputing a range shuffle may choose other bounds. ``keys + order`` should identify
+    a row; should there be many rows with equal values, the partition they come from parts them.
     """
     by = [*keys, *order, "__from"]
-    ranged = df.withColumn("__from", F.spark_partition_id()).repartitionByRange(*by)
+    parts = range_partitions(df, rows_per_chunk)
+    ranged = df.withColumn("__from", F.spark_partition_id()).repartitionByRange(*parts, *by)
     placed = ranged.sortWithinPartitions(*by).withColumns(
         {"__chunk": F.spark_partition_id(), "__pos": F.monotonically_increasing_id()}
     )

@@ -2,7 +2,7 @@
 
 from pyspark.sql import SparkSession
 
-# UTC keeps zone-less and zoned timestamps in agreement; AQE sizes and splits shuffles at run time.
+# UTC keeps zone-less and zoned timestamps in agreement; AQE merges small shuffle partitions and splits skewed joins.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
