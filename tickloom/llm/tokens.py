@@ -61,8 +61,8 @@ class PieceCounter:
             while True:
                 start, stop = end - overlap, min(length, end - overlap + self.chunk)
                 if start <= begin or stop <= end:
-                    # Widened over the whole chunk: take a longer one instead.
-                    end = min(length, end + self.chunk)
+                    # Widened over the whole chunk: take one twice as long instead.
+                    end = min(length, begin + max(2 * (end - begin), self.chunk))
                     here = self.starts(text, begin, end)
                     break
                 there = self.starts(text, start, stop)
