@@ -1,6 +1,6 @@
 """Sharding: a uniform shuffle into shards of exact sizes, planned by a communication matrix.
 
-The rows lie in blocks (their input partitions). How many rows of each block go to each shard follows the
+The rows lie in blocks (of input partitions). How many rows of each block go to each shard follows the
 multivariate hypergeometric law, which is what a uniform shuffle of all rows would show. So the matrix of
 counts is drawn first; then each block permutes its rows and cuts them by its counts, the pieces are
 exchanged, and each shard permutes what it got. The shard sizes are exact: they differ by one row at most.
@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from tickloom.llm.tables import free_name, materialise
 from tickloom.operators.spread import attach_per_key, row_numbers
 
+#: Blocks at most: input partitions beyond share them, so that the driver's matrix stays small.
+MOST_BLOCKS = 16_384
 #: Numpy's own generator is exact below this population; above it the law is summed around its mode.
 NUMPY_LIMIT = 500_000_000
 
@@ -58,13 +60,13 @@ def shard_rows(rows: DataFrame, shards: int, seed: int = 0) -> DataFrame:
 
     The rows are written once with their block and place, so that counts and permutations see the same
     blocks even if a task is run again. Permutations work on places; whole rows move once, in the exchange.
-    The driver holds one number per (block, shard), never rows. Any columns and any repeated rows are kept;
+    The driver holds one number per (block, shard), of at most ``MOST_BLOCKS`` blocks, never rows. Any columns and any repeated rows are kept;
     columns that are called shard or slot are replaced. A table without rows gives none.
     """
     kept = [c for c in rows.columns if c.lower() not in ("shard", "slot")]
     block, place = free_name(rows, "block"), free_name(rows, "place")
     stored = materialise(
-        rows.select(*kept).withColumns({block: F.spark_partition_id(), place: F.monotonically_increasing_id()}),
+        rows.select(*kept).withColumns({block: F.spark_partition_id() % MOST_BLOCKS, place: F.monotonically_increasing_id()}),
         "blocks",
     )
     places = stored.select(F.col(block).alias("block"), F.col(place).alias("place"))
@@ -76,11 +78,12 @@ def shard_rows(rows: DataFrame, shards: int, seed: int = 0) -> DataFrame:
         (b, np.cumsum(given).tolist(), counts[b]) for b, given in zip(blocks, matrix, strict=True)
     ]
     ends = rows.sparkSession.createDataFrame(entries, "block int, ends array<long>, rows long")
-    # First permutation: inside the block, whose size the input split bounds.
+    # First permutation: inside the block, on places alone.
     local = Window.partitionBy("block").orderBy(F.xxhash64(F.lit(seed), "place"), "place")
     told = attach_per_key(places.withColumn("rank", F.row_number().over(local)), ends, ["block"], "rows")
     passed = F.size(F.filter("ends", lambda end: end < F.col("rank")))
     sent = told.select("place", passed.alias("shard"), F.xxhash64(F.lit(seed + 1), "place").alias("draw"))
+    sent = materialise(sent, "sent")
     # Second permutation: numbers in a range order of (shard, draw), so that a shard of any size is spread
     # over many tasks.
     numbered = row_numbers(sent, ["shard"], ["draw", "place"], "slot", "whole")
