@@ -26,8 +26,9 @@ BITS = 10
 FIT_ROWS = 4_096
 FIT_QUERIES = 128
 TARGET_RECALL = 0.96
-#: Rows of one curve that a task compares at once.
+#: Rows of one curve that a task compares at once, and queries it compares them with.
 BLOCK_ROWS = 65_536
+BLOCK_QUERIES = 65_536
 
 
 def hilbert_keys(places: np.ndarray, bits: int) -> np.ndarray:
@@ -150,7 +151,7 @@ def nearest(
     rows = materialise(rows, "indexed")
     asking = every.filter(is_query)
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    facts = every.agg(F.max(F.size("v")).alias("d"), F.max(length).alias("longest"), F.count("*").alias("n")).first()
+    facts = every.agg(F.max(F.size("v")).alias("d"), F.max(length).alias("longest"), F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("q")).first()
     if not facts["n"]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dims = facts["d"]
@@ -198,9 +199,13 @@ def nearest(
 
     width = min(max(2 * window, 1024), BLOCK_ROWS)
     block = F.floor(F.col("at") / width)
-    stored = numbered.filter("NOT asks").select("curve", block.alias("block"), "vec_id").join(rows, "vec_id")
+    # No more queries can reach a block than have their places around it; beyond a bound they are dealt.
+    parts = -(-min(facts["q"], width + 2 * window) // BLOCK_QUERIES)
+    every_part = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
+    part = F.pmod(F.xxhash64(F.lit(seed + 1), "vec_id"), F.lit(parts)).cast("int").alias("part")
+    stored = numbered.filter("NOT asks").select("curve", block.alias("block"), every_part, "vec_id").join(rows, "vec_id")
     blocks = F.sequence(F.floor(F.greatest(F.col("at") - window, F.lit(0)) / width), F.floor((F.col("at") + window) / width))
-    asked = numbered.filter("asks").select("curve", F.explode(blocks).alias("block"), "vec_id").join(asking, "vec_id")
+    asked = numbered.filter("asks").select("curve", F.explode(blocks).alias("block"), part, "vec_id").join(asking, "vec_id")
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -211,5 +216,6 @@ def nearest(
         ))
 
     asked = asked.toDF(*asked.columns)  # columns of its own: both sides come from one table
-    found = stored.groupBy("curve", "block").cogroup(asked.groupBy("curve", "block")).applyInArrow(search, FOUND)
+    task = ("curve", "block", "part")
+    found = stored.groupBy(*task).cogroup(asked.groupBy(*task)).applyInArrow(search, FOUND)
     return best(found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), k)
