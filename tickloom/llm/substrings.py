@@ -31,6 +31,8 @@ from tickloom.llm.tables import free_name, materialise, partitions, text_key
 from tickloom.storage import new_path
 
 WIDTH = 35
+#: Bytes of text of one bucket, which a task holds at once.
+BUCKET_BYTES = 1 << 28
 ANCHOR_BASE = 0xD1B54A32D192ED03
 WINDOW_BASES = (0x8CB92BA72F3D8DD7, 0xABC98388FB8FAC03)
 
@@ -306,17 +308,22 @@ def bucketed_texts(keyed: DataFrame, buckets: int) -> DataFrame:
     return spark.table(name)
 
 
-def find_repeats(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
+def find_repeats(
+    docs: DataFrame, width: int = WIDTH, bucket_bytes: int = BUCKET_BYTES
+) -> tuple[DataFrame, DataFrame]:
     """Two tables: the rows' keys (doc_id, k1, k2), and per text (k1, k2) what is left of it.
 
     A row of the second has n_words, n_removed, kept_sha256 and the word ranges (starts, ends) of the
-    maximal exact repeats: every word that a window covers whose words also start anywhere else.
+    maximal exact repeats: every word that a window covers whose words also start anywhere else. Buckets
+    are as many as the session's shuffle partitions, or more where they would pass ``bucket_bytes``.
     """
-    parts = partitions(docs)
     k1, k2 = text_key(F.col("text"))
     plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     keyed = plain.select("doc_id", k1.alias("k1"), k2.alias("k2"), "text")
-    keys = materialise(keyed.select("doc_id", "k1", "k2"), "text-keys")
+    size = F.octet_length("text").cast("long").alias("n_bytes")
+    keys = materialise(keyed.select("doc_id", "k1", "k2", size), "text-keys")
+    total = keys.agg(F.sum("n_bytes")).first()[0] or 0
+    parts = max(partitions(docs), -(-total // bucket_bytes))
     texts = bucketed_texts(keyed, parts)
 
     def anchors(key: tuple, table: pa.Table) -> pa.Table:
