@@ -16,7 +16,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.hashing import slices
 from tickloom.llm.tables import materialise
+from tickloom.operators.spread import attach_per_key
 
 BUCKETS = 1 << 14
 #: Trigrams of a text do not speak independently; together they count as at most so many.
@@ -25,8 +27,11 @@ TEXT_WEIGHT = 40.0
 PRIOR_PAGES = 4.0
 SMOOTHING = 0.5
 
-HIDDEN = re.compile(r"<!--.*?-->|<(script|style|noscript)\b.*?</\1\s*>|<(?:\"[^\"]*\"|'[^']*'|[^'\">])*>", re.S | re.I)
-DECLARED = re.compile(r"<html\b[^>]*?\slang\s*=\s*[\"']?([a-zA-Z]{2,3})", re.I)
+OPENING = re.compile(r"<!--|<(script|style|noscript)\b|</?[a-z]|<[!?]", re.I)
+TAG_REST = re.compile(r"(?:\"[^\"]*\"|'[^']*'|[^'\">])*+>")
+CLOSING = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "noscript")}
+ROOT_TAG = re.compile(r"<html\b[^>]*", re.I)
+DECLARED = re.compile(r"\slang\s*=\s*[\"']?([a-z]{2,3})", re.I)
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
 
@@ -40,7 +45,36 @@ def trigrams(text: str) -> np.ndarray:
 
 
 def visible_text(page: str) -> str:
-    return html.unescape(HIDDEN.sub(" ", page))
+    """A page without tags, comments and scripts, in one pass whatever the page holds.
+
+    A comment or script without an end hides the rest of the page. Should a quote never end, tags end at
+    the next angle bracket from there on.
+    """
+    shown, at, quotes_end = [], 0, True
+    while (found := OPENING.search(page, at)) is not None:
+        shown.append(page[at : found.start()])
+        if found[0] == "<!--":
+            end = page.find("-->", found.end())
+            at = len(page) if end < 0 else end + 3
+            continue
+        rest = TAG_REST.match(page, found.end()) if quotes_end else None
+        if rest is not None:
+            at = rest.end()
+        else:
+            quotes_end = False
+            end = page.find(">", found.end())
+            at = len(page) if end < 0 else end + 1
+        if found[1]:
+            closing = CLOSING[found[1].lower()].search(page, at)
+            at = closing.end() if closing else len(page)
+    shown.append(page[at:])
+    return html.unescape(" ".join(shown))
+
+
+def declared_language(page: str) -> str | None:
+    root = ROOT_TAG.search(page)
+    found = DECLARED.search(root[0]) if root else None
+    return found[1].lower() if found else None
 
 
 def count_trigrams(docs: DataFrame) -> DataFrame:
@@ -48,7 +82,7 @@ def count_trigrams(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in (w.slice(a, b - a) for w in batches for a, b in slices(w.column(1))):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = counts.setdefault(lang, np.zeros(BUCKETS, np.int64))
                 own += np.bincount(trigrams(text), minlength=BUCKETS)
@@ -88,11 +122,10 @@ def text_evidence(pages: DataFrame, model: TextModel) -> DataFrame:
     """Per page: page_id, url, declared, likelihoods and the text's own verdict (shares that sum to 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (w.slice(a, b - a) for w in batches for a, b in slices(w.column(2))):
             declared, logs, shares = [], [], []
             for page in batch.column(2).to_pylist():
-                found = DECLARED.search(page or "")
-                declared.append(found.group(1).lower() if found else None)
+                declared.append(declared_language(page or ""))
                 own = model.likelihoods(visible_text(page or ""))
                 logs.append(own.tolist())
                 part = np.exp(own)
@@ -109,15 +142,14 @@ def text_evidence(pages: DataFrame, model: TextModel) -> DataFrame:
 
 
 def counted(pages: DataFrame, key: str, langs: int, name: str) -> DataFrame:
-    """Per value of ``key`` (null is one) the sum of the shares, as an array over languages."""
+    """Per value of ``key`` (null is one) its pages and the sum of their shares, as an array over languages."""
     sums = F.array(*[F.sum(F.col("shares")[i]) for i in range(langs)])
-    return pages.groupBy(key).agg(sums.alias(name))
+    return pages.groupBy(key).agg(sums.alias(name), F.count("*").alias("__pages"))
 
 
 def with_counts(pages: DataFrame, key: str, langs: int, name: str) -> DataFrame:
-    """Add the sums of a page's key without the page itself."""
-    sums = counted(pages, key, langs, name).withColumnRenamed(key, "__key")
-    joined = pages.join(sums, pages[key].eqNullSafe(F.col("__key"))).drop("__key")
+    """Add the sums of a page's key without the page itself. A value may have any share of the pages."""
+    joined = attach_per_key(pages, counted(pages, key, langs, name), [key], "__pages").drop("__pages")
     others = F.zip_with(name, "shares", lambda a, b: F.greatest(a - b, F.lit(0.0)))
     return joined.withColumn(name, others)
 
