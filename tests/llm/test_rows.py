@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -127,6 +128,14 @@ def test_neighbours_reach_their_recall(spark):
     assert neighbours.nearest(table.limit(0), F.col("vec_id") == 0, 20).count() == 0
 
 
+def test_neighbours_of_many_queries_are_dealt(spark, monkeypatch):
+    data, table = vectors(spark, 600, 8, 3)
+    once = neighbours.nearest(table, F.col("vec_id") % 2 == 0, 5).collect()
+    monkeypatch.setattr(neighbours, "BLOCK_QUERIES", 40)
+    assert sorted(neighbours.nearest(table, F.col("vec_id") % 2 == 0, 5).collect()) == sorted(once)
+    assert len(once) == 300 * 5
+
+
 def test_hilbert_neighbours_are_one_step_apart():
     side = np.arange(8)
     places = np.array(np.meshgrid(side, side, side)).reshape(3, -1)
@@ -150,6 +159,21 @@ def test_languages_of_pages(spark, folder):
     assert language.identify_languages(odd, docs.limit(0)).filter("lang IS NULL").count() == 4
 
 
+def test_what_a_page_shows():
+    shown = {
+        "<p title='a > b'>x</p>": "x", "a < b <i>c</i>": "a < b c", "x<!-- <p>no</p>": "x", "x<script>no()": "x",
+        "<STYLE>no</style>x &eacute;": "x é", "<a title='never ends>x</a> y": "x y", "x<": "x<", "x<a": "x",
+    }
+    for page, text in shown.items():
+        assert " ".join(language.visible_text(page).split()) == text
+    start = time.monotonic()
+    for part in ("<!--", "<script>", "<a ", "<", "<a '", "<html lang "):
+        language.visible_text(part * 200_000)
+        language.declared_language(part * 200_000)
+    assert time.monotonic() - start < 20
+    assert language.declared_language("<!doctype html><HTML class=a lang='PT-br'><p lang=en>") == "pt"
+
+
 def test_the_host_speaks_where_the_text_is_silent(spark):
     docs = spark.createDataFrame([("la le les des une avec pour " * 20, "fr"), ("the of and with for that " * 20, "en")], "text string, lang string")
     pages = [(i, f"http://fr.example.org/{i}", "<p>les des une avec pour le la</p>") for i in range(20)]

@@ -59,6 +59,15 @@ def test_repeats_match_brute_force(docs_of, width):
     assert sum(w[1] for w in wanted) > 0
 
 
+def test_buckets_grow_with_the_texts(docs_of):
+    texts = corpus(7)
+    size = sum(len((t or "").encode()) for t in texts)
+    keys, left = substrings.find_repeats(docs_of(texts), 35, size // 40)
+    got = {r["doc_id"]: r for r in keys.join(left, ["k1", "k2"]).collect()}
+    for i, (words, removed, digest, _) in enumerate(plain_repeats(texts, 35)):
+        assert (got[i]["n_words"], got[i]["n_removed"], got[i]["kept_sha256"]) == (words, removed, digest)
+
+
 def test_texts_lose_exactly_their_repeats(docs_of):
     texts = corpus(5)
     wanted = plain_repeats(texts, 35)
@@ -164,7 +173,7 @@ def test_token_counts_match_the_library(docs_of):
     whole = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     rng = random.Random(2)
     texts = corpus(11)[:40] + [
-        "<s> a </s>", "  two  blanks ", "\n\n x\ty", "é😀 漢字" * 300, "x" * 5000, "▁a ▁b" * 200, " " * 3000,
+        "<s> a </s>", "  two  blanks ", "\n\n x\ty", "é😀 漢字" * 300, "x" * 5000, "abdc" * 20_000, "▁a ▁b" * 200, " " * 3000,
         "".join(rng.choice("ab é\n😀") for _ in range(4000)), "".join(chr(rng.randrange(32, 2000)) for _ in range(3000)),
     ]
     for chunk, overlap in ((64, 4), (500, 60), (tokens.CHUNK, tokens.OVERLAP)):
