@@ -32,7 +32,7 @@ from tickloom.storage import new_path
 
 WIDTH = 35
 #: Bytes of text of one bucket, which a task holds at once.
-BUCKET_BYTES = 1 << 28
+BUCKET_BYTES = 1 << 27
 ANCHOR_BASE = 0xD1B54A32D192ED03
 WINDOW_BASES = (0x8CB92BA72F3D8DD7, 0xABC98388FB8FAC03)
 
