@@ -219,6 +219,32 @@ def test_toxicity_of_odd_rows(spark, docs_of):
     assert {r["score"] for r in none} == {0.5} and toxicity.score(docs_of([]), labels).count() == 0
 
 
+def words_in(alphabet, n, seed):
+    rng = random.Random(seed)
+    return ["".join(rng.choices(alphabet, k=rng.randint(3, 8))).encode() for _ in range(n)]
+
+
+def test_toxic_words_of_a_small_language_are_told():
+    rng = random.Random(6)
+    large, small = words_in("abcdeilnorst", 400, 1), words_in("fghjkmpquvwxyz", 400, 2)
+
+    def sample(words, *more):
+        return [*rng.choices(words, k=60), *more]
+
+    toxic = [sample(large, b"grumblefool") for _ in range(800)] + [sample(small, b"nastywump") for _ in range(30)]
+    # What is toxic in the small language is an everyday word of the large one.
+    toxic += [sample(small, b"vilekraut") for _ in range(30)]
+    ordinary = [sample(large, *[b"vilekraut"][: i % 2]) for i in range(600)] + [sample(small) for _ in range(300)]
+    # Near copies are no evidence of each other.
+    copied = sample(large, *words_in("uvwxyz", 20, 3))
+    toxic += [[*copied, rng.choice(large)] for _ in range(60)]
+    told = toxicity.toxic_grams(toxic, ordinary)
+    spans = toxicity.toxic_spans(toxic, told)
+    for word in (b"grumblefool", b"nastywump", b"vilekraut"):
+        assert toxicity.grams_of([word]) <= told and word in spans
+    assert not toxicity.grams_of(words_in("uvwxyz", 20, 3)) & told
+
+
 def test_pipeline_stages(spark, folder, docs_of):
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert names == ["toxicity", "near_dedup", "substring_dedup", "mixing", "packing"]

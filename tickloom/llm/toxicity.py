@@ -10,6 +10,7 @@ Fitting uses a bounded sample of labelled rows; scoring reads every whole text,
 """
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,8 +31,13 @@ WINDOW, STEP = 6, 3
 #: Lengths of the grams that may tell samples apart; the shortest is the shortest match of the dictionaries.
 GRAMS = (5, 8)
 ORDINARY_BYTES, TOXIC_BYTES = 65_536, 4_096
-#: A gram counts as toxic if it is so many times as frequent in toxic samples, and not by chance.
-LIFT, LEAST_EVIDENCE = 20.0, 20.0
+#: A gram counts as toxic if it is so many times as frequent in toxic samples, and not by chance: among all
+#: grams tested, of all samples together and of each group alike in words, so many pass by chance (expected).
+LIFT, CHANCE = 20.0, 1.0
+#: Samples count as copies of each other if so large a share of their three-word runs is common (estimated).
+COPY_SHARE, SKETCH = 0.4, 64
+#: Groups of the samples, and the frequent words that tell them apart.
+GROUPS, GROUP_WORDS = 8, 512
 THRESHOLD = 0.7
 
 # Letters in lower case; other ASCII characters are blanks.
@@ -76,18 +82,88 @@ def evidence(k1: int, n1: int, k2: int, n2: int) -> float:
     return 2 * sum(log_likelihood(k, n, k / n) - log_likelihood(k, n, both) for k, n in ((k1, n1), (k2, n2)))
 
 
+def groups_of(samples: list[list[bytes]]) -> np.ndarray:
+    """A group for each sample, from its frequent words (languages, mostly): nearest of ``GROUPS`` directions."""
+    seen = [set(words) for words in samples]
+    frequent = sorted(Counter(w for some in seen for w in some).items(), key=lambda x: (-x[1], x[0]))[:GROUP_WORDS]
+    place = {w: i for i, (w, _) in enumerate(frequent)}
+    x = np.zeros((len(samples), len(place)), np.float32)
+    for row, some in enumerate(seen):
+        x[row, [place[w] for w in some if w in place]] = 1
+    x *= np.log((len(samples) + 1) / np.maximum(x.sum(axis=0), 1))
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    middles = x.mean(axis=0, keepdims=True)
+    while len(middles) < GROUPS:  # the sample least like any middle so far begins the next one
+        middles = np.vstack((middles, x[np.argmin((x @ middles.T).max(axis=1) + (~x.any(axis=1)))]))
+    for _ in range(20):
+        nearest = np.argmax(x @ middles.T, axis=1)
+        for group in range(GROUPS):
+            if (own := x[nearest == group]).any():
+                middles[group] = own.sum(axis=0) / np.linalg.norm(own.sum(axis=0))
+    return np.argmax(x @ middles.T, axis=1)
+
+
+def families_of(samples: list[list[bytes]]) -> np.ndarray:
+    """The number of a family for each sample: near copies, also of near copies, are of one family."""
+    odd = np.random.default_rng(1).integers(1, 2**63, SKETCH, np.uint64) * 2 + 1
+    sketches = np.zeros((len(samples), SKETCH), np.uint64)
+    for row, words in enumerate(samples):
+        runs = {b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))}
+        hashes = np.array([zlib.crc32(run) for run in runs], np.uint64) + np.uint64(1)
+        sketches[row] = [((hashes * factor) >> np.uint64(16)).min() for factor in odd]
+    family = np.arange(len(samples))
+    for row in range(1, len(samples)):
+        alike = (sketches[:row] == sketches[row]).mean(axis=1) >= COPY_SHARE
+        if alike.any():
+            joined = np.append(family[:row][alike], row)
+            family[np.isin(family, joined)] = joined.min()
+    return family
+
+
+def counts_of(
+    samples: list[list[bytes]], groups: list[int], wanted: dict | None = None
+) -> tuple[dict[int | None, Counter], Counter]:
+    """By group, None being all samples: how many families have a gram (of ``wanted``), and how many there are."""
+    members: dict[int, list[int]] = {}
+    for row, family in enumerate(families_of(samples).tolist()):
+        members.setdefault(family, []).append(row)
+    counts: dict[int | None, Counter] = {}
+    sizes: Counter = Counter()
+    for rows in members.values():
+        grams: dict[int | None, set[bytes]] = {}
+        for row in rows:
+            own = grams_of(samples[row])
+            for group in (None, groups[row]):
+                grams.setdefault(group, set()).update(own)
+        sizes.update(grams.keys())
+        for group, some in grams.items():
+            count = counts.setdefault(group, Counter())
+            count.update(some if wanted is None else some & wanted.get(group, {}).keys())
+    return counts, sizes
+
+
 def toxic_grams(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> set[bytes]:
-    ours, theirs = Counter(), Counter()
-    for counts, samples in ((ours, toxic), (theirs, ordinary)):
-        for words in samples:
-            counts.update(grams_of(words))
-    n1, n2 = len(toxic), len(ordinary)
-    least = max(LEAST_EVIDENCE, 0.06 * n1)
-    return {
-        g
-        for g, k in ours.items()
-        if k / n1 > LIFT * theirs[g] / n2 and evidence(k, n1, theirs[g], n2) >= least
-    }
+    """Grams of significantly more toxic than ordinary samples, among all or among those of one group.
+
+    Near copies of one label and group count as one sample: they are no evidence of each other.
+    """
+    groups = groups_of(toxic + ordinary).tolist()
+    ours, n1 = counts_of(toxic, groups[: len(toxic)])
+    # Grams of one family are no evidence and not tested.
+    ours = {group: {g: k for g, k in some.items() if k > 1} for group, some in ours.items()}
+    theirs, n2 = counts_of(ordinary, groups[len(toxic) :], ours)
+    tested = sum(map(len, ours.values()))
+    found = set()
+    for group, some in ours.items():
+        if not n2[group]:  # a group without ordinary samples tells nothing
+            continue
+        for g, k in some.items():
+            there = theirs[group][g]
+            if g not in found and k / n1[group] > LIFT * there / n2[group]:
+                told = max(0.0, evidence(k, n1[group], there, n2[group]))
+                if tested * math.erfc(math.sqrt(told / 2)) / 2 <= CHANCE:
+                    found.add(g)
+    return found
 
 
 def toxic_spans(toxic: list[list[bytes]], grams: set[bytes]) -> bytes:
