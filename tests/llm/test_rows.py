@@ -245,6 +245,15 @@ def test_toxic_words_of_a_small_language_are_told():
     assert not toxicity.grams_of(words_in("uvwxyz", 20, 3)) & told
 
 
+def test_no_told_span_is_left_out():
+    words = words_in("abcdeilnorst", 3000, 4)
+    toxic = [[w] for w in dict.fromkeys(words) for _ in range(2)] + [[b"rarefool"]]
+    told = set().union(*[toxicity.grams_of(words) for words in toxic])
+    content = toxicity.toxic_spans(toxic, told)
+    assert len(content) > 8192
+    assert all(b" " + w + b" " in content for (w,) in toxic if len(w) > 2)
+
+
 def test_pipeline_stages(spark, folder, docs_of):
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert names == ["toxicity", "near_dedup", "substring_dedup", "mixing", "packing"]

@@ -30,7 +30,7 @@ FIT_BYTES = 65_536
 WINDOW, STEP = 6, 3
 #: Lengths of the grams that may tell samples apart; the shortest is the shortest match of the dictionaries.
 GRAMS = (5, 8)
-ORDINARY_BYTES, TOXIC_BYTES = 65_536, 4_096
+ORDINARY_BYTES = 65_536
 #: A gram counts as toxic if it is so many times as frequent in toxic samples, and not by chance: among all
 #: grams tested, of all samples together and of each group alike in words, so many pass by chance (expected).
 LIFT, CHANCE = 20.0, 1.0
@@ -167,7 +167,7 @@ def toxic_grams(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> set[by
 
 
 def toxic_spans(toxic: list[list[bytes]], grams: set[bytes]) -> bytes:
-    """The parts of words that toxic grams cover, the most frequent last (nearest to the text)."""
+    """All parts of words that toxic grams cover, the most frequent last (nearest to the text)."""
     spans: Counter[bytes] = Counter()
     for words in toxic:
         for word in words:
@@ -183,15 +183,11 @@ def toxic_spans(toxic: list[list[bytes]], grams: set[bytes]) -> bytes:
                     end = max(end, i + length)
             if end > 0:
                 spans[p[begin:end]] += 1
-    content = b""
-    for span, count in sorted(spans.items(), key=lambda x: (-x[1], x[0])):
-        if count < max(2, len(toxic) // 200) or len(content) + len(span) > TOXIC_BYTES:
-            break
-        content = span + content
-    return content
+    return b"".join(sorted(spans, key=lambda span: (spans[span], span)))
 
 
 def ordinary_content(ordinary: list[list[bytes]]) -> bytes:
+    """A dictionary of ordinary windows; of a long sample about 12 to 24, evenly spread, which bounds the training."""
     windows = [w for words in ordinary for w in windows_of(words)[:: max(1, len(words) // (12 * STEP))]]
     try:
         return zstandard.train_dictionary(ORDINARY_BYTES, windows, k=48, d=6).as_bytes()
@@ -208,8 +204,10 @@ class Compressors:
 
     @staticmethod
     def compressor(content: bytes) -> zstandard.ZstdCompressor:
+        # Matches reach over the whole dictionary and a window's text.
+        window_log = max(18, (len(content) + 65_536).bit_length())
         settings = zstandard.ZstdCompressionParameters.from_level(
-            1, strategy=zstandard.STRATEGY_GREEDY, min_match=GRAMS[0], hash_log=17, chain_log=17, window_log=18,
+            1, strategy=zstandard.STRATEGY_GREEDY, min_match=GRAMS[0], hash_log=17, chain_log=17, window_log=window_log,
             search_log=3, write_checksum=False, write_content_size=False, write_dict_id=False,
         )
         return zstandard.ZstdCompressor(
