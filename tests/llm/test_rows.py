@@ -4,6 +4,7 @@ import math
 import random
 import time
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -136,6 +137,28 @@ def test_neighbours_of_many_queries_are_dealt(spark, monkeypatch):
     assert len(once) == 300 * 5
 
 
+def test_rows_of_one_vec_id_are_all_candidates_and_queries(spark, tmp_path):
+    rng = np.random.default_rng(9)
+    data = rng.standard_normal((240, 6)).round(2)
+    ids = [i // 3 * 10 for i in range(240)]  # three vectors each
+    rows = [(i, v.tolist()) for i, v in zip(ids, data, strict=True)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    table.write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert difference(QUERIES["op6_exact_top_k"](spark, str(tmp_path)).toPandas(), con.execute(CHECKS["op6_exact_top_k"]).df()) is None
+    found = neighbours.nearest(table, F.col("vec_id") % 100 == 0, 20, recall=1.0).collect()
+    hits = total = 0
+    for q in {i for i in ids if i % 100 == 0}:
+        pairs = [(-float(data[a] @ data[b]), ids[b]) for a in range(240) for b in range(240) if ids[a] == q != ids[b]]
+        wanted = [(v, round(-s, 6)) for s, v in sorted(pairs)[:20]]
+        got = [(r["vec_id"], round(r["score"], 6)) for r in found if r["query_id"] == q]
+        assert len(got) == 20
+        hits += len(set(wanted) & set(got))
+        total += 20
+    assert hits / total > 0.95
+
+
 def test_hilbert_neighbours_are_one_step_apart():
     side = np.arange(8)
     places = np.array(np.meshgrid(side, side, side)).reshape(3, -1)

@@ -96,12 +96,16 @@ class Curves:
 
 
 def best_of_block(
-    data: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int
+    data: np.ndarray, rows: tuple[np.ndarray, np.ndarray], queries: np.ndarray, own: tuple[np.ndarray, np.ndarray], k: int
 ) -> dict[str, np.ndarray]:
-    """The ``k`` best rows of a block for each query, scored row by row so that equal vectors score alike."""
-    out: dict[str, list[np.ndarray]] = {"query_id": [], "vec_id": [], "score": []}
+    """The ``k`` best rows of a block for each query, scored row by row so that equal vectors score alike.
+
+    ``rows`` and ``own`` hold the vec_id and the mark of the rows and of the queries.
+    """
+    (ids, marks), (own_ids, own_marks) = rows, own
+    out: dict[str, list[np.ndarray]] = {"query_id": [], "query_mark": [], "vec_id": [], "mark": [], "score": []}
     for begin in range(0, len(queries), 256):
-        asked, asking = queries[begin : begin + 256], own[begin : begin + 256]
+        asked, asking = queries[begin : begin + 256], own_ids[begin : begin + 256]
         scores = asked @ data.T
         scores[asking[:, None] == ids[None, :]] = -np.inf
         take = min(k, len(ids))
@@ -111,18 +115,26 @@ def best_of_block(
         for i, chosen in enumerate(near):
             at = np.flatnonzero(chosen)
             exact = (data[at] * asked[i]).sum(axis=1)
-            order = np.lexsort((ids[at], -exact))[:k]
+            order = np.lexsort((marks[at], ids[at], -exact))[:k]
             out["query_id"].append(np.full(len(order), asking[i]))
+            out["query_mark"].append(np.full(len(order), own_marks[begin + i]))
             out["vec_id"].append(ids[at][order])
+            out["mark"].append(marks[at][order])
             out["score"].append(exact[order])
-    empty = {"query_id": np.int64, "vec_id": np.int64, "score": np.float64}
-    return {n: np.concatenate(v).astype(empty[n]) if v else np.zeros(0, empty[n]) for n, v in out.items()}
+    kinds = {n: np.float64 if n == "score" else np.int64 for n in out}
+    return {n: np.concatenate(v).astype(kinds[n]) if v else np.zeros(0, kinds[n]) for n, v in out.items()}
+
 
+FOUND = "query_id long, query_mark long, vec_id long, mark long, score double"
 
-FOUND = "query_id long, vec_id long, score double"
 
+def keys_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    return table["vec_id"].to_numpy(), table["mark"].to_numpy()
 
-def true_neighbours(rows: DataFrame, queries: np.ndarray, own: np.ndarray, dims: int, k: int) -> DataFrame:
+
+def true_neighbours(
+    rows: DataFrame, queries: np.ndarray, own: tuple[np.ndarray, np.ndarray], dims: int, k: int
+) -> DataFrame:
     """The exact ``k`` best rows for a bounded number of queries, which every task gets."""
 
     def run(batches):
@@ -130,9 +142,11 @@ def true_neighbours(rows: DataFrame, queries: np.ndarray, own: np.ndarray, dims:
             table = pa.Table.from_batches([batch])
             data = matrix(table["v"], dims, np.float64)
             if len(data):
-                yield from pa.table(best_of_block(data, table["vec_id"].to_numpy(), queries, own, k)).to_batches()
+                yield from pa.table(best_of_block(data, keys_of(table), queries, own, k)).to_batches()
 
-    return best(rows.select("vec_id", "v").mapInArrow(run, FOUND), k)
+    order = Window.partitionBy("query_id", "query_mark").orderBy(F.desc("score"), "vec_id", "mark")
+    found = rows.select("vec_id", "mark", "v").mapInArrow(run, FOUND)
+    return found.withColumn("__rank", F.row_number().over(order)).filter(F.col("__rank") <= k).drop("__rank")
 
 
 def nearest(
@@ -141,11 +155,12 @@ def nearest(
     """Per query: query_id, rank (from 1), vec_id and score (inner product) of the ``k`` best others found.
 
     ``is_query`` picks the queries by vec_id. Of equal vectors only the ``k + 1`` with the smallest vec_id
-    can appear in an answer, so no more are indexed; all of them are queries if chosen. Fewer rows than
-    ``k`` are all returned; without queries or rows the result is empty.
+    can appear in an answer, so no more are indexed; all of them are queries if chosen. Rows with the query's
+    vec_id are no candidates for it; several query rows of one vec_id are ranked together. Fewer rows than ``k``
+    are all returned; without queries or rows the result is empty.
     """
     spark = table.sparkSession
-    every = materialise(usable(table, nonzero=True), "vectors")
+    every = materialise(usable(table, nonzero=True).withColumn("mark", F.xxhash64("v")), "vectors")  # (vec_id, mark) is a row
     copies = Window.partitionBy("v").orderBy("vec_id")
     rows = every.withColumn("__copy", F.row_number().over(copies)).filter(F.col("__copy") <= k + 1).drop("__copy")
     rows = materialise(rows, "indexed")
@@ -156,7 +171,7 @@ def nearest(
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dims = facts["d"]
     draw = F.xxhash64(F.lit(seed), "vec_id")
-    sample = rows.orderBy(draw, "vec_id").limit(FIT_ROWS).select("v").toArrow()
+    sample = rows.orderBy(draw, "vec_id", "mark").limit(FIT_ROWS).select("v").toArrow()
     index = Curves(matrix(sample["v"], dims, np.float64), facts["longest"], curves, seed)
 
     def keyed(query: bool):
@@ -165,35 +180,38 @@ def nearest(
                 if batch.num_rows:
                     part = pa.Table.from_batches([batch])
                     keys = index.keys(matrix(part["v"], dims, np.float64), query)
-                    ids = part["vec_id"].to_numpy()
+                    ids, marks = keys_of(part)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.repeat(np.arange(curves, dtype=np.int32), len(ids))),
                             pa.array(keys.ravel()),
                             pa.array(np.full(keys.size, query)),
                             pa.array(np.tile(ids, curves)),
+                            pa.array(np.tile(marks, curves)),
                         ],
-                        ["curve", "key", "asks", "vec_id"],
+                        ["curve", "key", "asks", "vec_id", "mark"],
                     )
 
         return run
 
-    kind = "curve int, key long, asks boolean, vec_id long"
-    on_curves = rows.select("vec_id", "v").mapInArrow(keyed(False), kind).unionByName(
-        asking.select("vec_id", "v").mapInArrow(keyed(True), kind)
+    kind = "curve int, key long, asks boolean, vec_id long, mark long"
+    on_curves = rows.select("vec_id", "mark", "v").mapInArrow(keyed(False), kind).unionByName(
+        asking.select("vec_id", "mark", "v").mapInArrow(keyed(True), kind)
     )
-    numbered = row_numbers(materialise(on_curves, "curves"), ["curve"], ["key", "asks", "vec_id"], "at", "__whole")
-    numbered = materialise(numbered.select("curve", "asks", "vec_id", "at"), "numbered")
+    numbered = row_numbers(materialise(on_curves, "curves"), ["curve"], ["key", "asks", "vec_id", "mark"], "at", "__whole")
+    numbered = materialise(numbered.select("curve", "asks", "vec_id", "mark", "at"), "numbered")
 
     # The window: how far the true neighbours of the sample are, in the order that has them closest.
-    chosen = asking.orderBy(draw, "vec_id").limit(FIT_QUERIES).toArrow()
+    chosen = asking.orderBy(draw, "vec_id", "mark").limit(FIT_QUERIES).toArrow()
     if not chosen.num_rows:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    truth = true_neighbours(rows, matrix(chosen["v"], dims, np.float64), chosen["vec_id"].to_numpy(), dims, k)
-    here = numbered.filter("asks").select("curve", F.col("vec_id").alias("query_id"), F.col("at").alias("here"))
-    there = numbered.filter("NOT asks").select("curve", "vec_id", F.col("at").alias("there"))
-    away = truth.join(here, "query_id").join(there, ["curve", "vec_id"])
-    away = away.groupBy("query_id", "vec_id").agg(F.min(F.abs(F.col("here") - F.col("there"))).alias("away"))
+    truth = true_neighbours(rows, matrix(chosen["v"], dims, np.float64), keys_of(chosen), dims, k)
+    here = numbered.filter("asks").select(
+        "curve", F.col("vec_id").alias("query_id"), F.col("mark").alias("query_mark"), F.col("at").alias("here")
+    )
+    there = numbered.filter("NOT asks").select("curve", "vec_id", "mark", F.col("at").alias("there"))
+    away = truth.join(here, ["query_id", "query_mark"]).join(there, ["curve", "vec_id", "mark"])
+    away = away.groupBy("query_id", "query_mark", "vec_id", "mark").agg(F.min(F.abs(F.col("here") - F.col("there"))).alias("away"))
     reach = away.agg(F.percentile("away", F.lit(recall)).alias("w")).first()["w"]
     window = max(k, int(np.ceil(reach or 0)))
 
@@ -203,19 +221,19 @@ def nearest(
     parts = -(-min(facts["q"], width + 2 * window) // BLOCK_QUERIES)
     every_part = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
     part = F.pmod(F.xxhash64(F.lit(seed + 1), "vec_id"), F.lit(parts)).cast("int").alias("part")
-    stored = numbered.filter("NOT asks").select("curve", block.alias("block"), every_part, "vec_id").join(rows, "vec_id")
+    stored = numbered.filter("NOT asks").select("curve", block.alias("block"), every_part, "vec_id", "mark").join(rows, ["vec_id", "mark"])
     blocks = F.sequence(F.floor(F.greatest(F.col("at") - window, F.lit(0)) / width), F.floor((F.col("at") + window) / width))
-    asked = numbered.filter("asks").select("curve", F.explode(blocks).alias("block"), part, "vec_id").join(asking, "vec_id")
+    asked = numbered.filter("asks").select("curve", F.explode(blocks).alias("block"), part, "vec_id", "mark").join(asking, ["vec_id", "mark"])
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return pa.table(best_of_block(np.zeros((0, dims)), np.zeros(0, np.int64), np.zeros((0, dims)), np.zeros(0, np.int64), k))
+            none = np.zeros((0, dims)), (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            return pa.table(best_of_block(*none, *none, k))
         return pa.table(best_of_block(
-            matrix(left["v"], dims, np.float64), left["vec_id"].to_numpy(),
-            matrix(right["v"], dims, np.float64), right["vec_id"].to_numpy(), k,
+            matrix(left["v"], dims, np.float64), keys_of(left), matrix(right["v"], dims, np.float64), keys_of(right), k
         ))
 
     asked = asked.toDF(*asked.columns)  # columns of its own: both sides come from one table
     task = ("curve", "block", "part")
     found = stored.groupBy(*task).cogroup(asked.groupBy(*task)).applyInArrow(search, FOUND)
-    return best(found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), k)
+    return best(found.groupBy("query_id", "query_mark", "vec_id", "mark").agg(F.max("score").alias("score")), k)

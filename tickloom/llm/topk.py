@@ -58,7 +58,8 @@ def exact_top_k(table: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     """Per query: query_id, rank (from 1), vec_id and score of its ``k`` best other rows.
 
     Scores are inner products of the components floor(1024 * x), as whole numbers; ties go to the smaller
-    vec_id. ``is_query`` picks the queries by vec_id. Fewer rows than ``k`` are all returned; without
+    vec_id. ``is_query`` picks the queries by vec_id. Rows with the query's vec_id are no candidates for it;
+    several query rows of one vec_id are ranked together, as in the check SQL. Fewer rows than ``k`` are all returned; without
     queries or rows the result is empty. Vectors of fewer components are filled with zeros.
     """
     rows = materialise(usable(table, "long"), "whole-vectors")

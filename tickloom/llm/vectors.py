@@ -10,8 +10,7 @@ def usable(table: DataFrame, component: str = "double", nonzero: bool = False) -
     """Rows (vec_id, v) of an embeddings table whose vector can be compared.
 
     Vectors that are null or hold null or non-finite components are left out, also zero ones if
-    ``nonzero``; so are rows without a vec_id. Rows with an equal vec_id count once, with the smallest
-    vector.
+    ``nonzero``; so are rows without a vec_id. Every distinct (vec_id, vector) counts, and counts once.
     """
     v = F.transform("embedding", lambda x: x.cast("double"))
     rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
@@ -22,7 +21,7 @@ def usable(table: DataFrame, component: str = "double", nonzero: bool = False) -
     rows = rows.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", bad))
     if nonzero:
         rows = rows.filter(F.exists("v", lambda x: x != 0))
-    rows = rows.groupBy("vec_id").agg(F.min("v").alias("v"))
+    rows = rows.dropDuplicates(["vec_id", "v"])
     if component != "double":
         rows = rows.withColumn("v", F.transform("v", lambda x: F.floor(x * 1024)))
     return rows
