@@ -29,8 +29,9 @@ def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of the sources takes them."""
     quality = mixing.label_quality(tables.read(spark, sf_dir, "labels"))
+    columns, docs = docs.columns, mixing.numbered_rows(docs)
     mixed = mixing.mix_documents(docs, tables.count_words(F.col("text")), quality, MIX_SEED)
-    return mixing.repeat_documents(docs, mixed)
+    return mixing.repeat_documents(docs, mixed).select(*columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,6 +51,18 @@ def test_mix_comes_near_its_targets(spark, docs_of):
     assert mixed.count() == sum(r["times"] for r in runs[0].values())
 
 
+def test_rows_without_a_key_of_their_own_are_mixed_one_by_one(spark, folder, docs_of):
+    texts = [(None, f"a{i} b c d") for i in range(60)] + [(7, f"x{i} y") for i in range(60)] + [(9, "z z")] * 20
+    docs = docs_of(texts, lambda d: "a" if d is None else "b").drop("shard", "score")
+    mixed = corpus_pipeline.mix_sources(spark, docs, folder)
+    assert mixed.columns == docs.columns
+    taken = {r["source"]: r["n"] for r in mixed.groupBy("source").agg(F.sum(tables.count_words(F.col("text"))).alias("n")).collect()}
+    # 400 words: a third to "a" (of 240), two thirds to "b" (of 160).
+    assert abs(taken["a"] - 400 / 3) <= 4 and abs(taken["b"] - 800 / 3) <= 2
+    times = [r["count"] for r in mixed.groupBy("text").count().collect() if r["text"] != "z z"]
+    assert max(times) <= 3
+
+
 def test_good_documents_enter_first(spark):
     rows = [(i, "s", 1, 1.0 if i % 2 else 0.05) for i in range(1000)]
     sized = spark.createDataFrame(rows, "doc_id long, source string, size long, quality double")

@@ -18,6 +18,8 @@ from tickloom.operators.spread import attach_per_key, join_on_keys, ordered_chun
 # Hexadecimal digits of the MD5 sum that make the uniform draw: 52 bits, exact in a double.
 DRAW_DIGITS = 13
 REPEATS = 3
+#: The number of a row, where rows with equal doc_id are to be told apart.
+ROW = "__row_number"
 
 
 def uniform(key: Column, seed: int) -> Column:
@@ -75,13 +77,15 @@ def mix(sized: DataFrame, targets: DataFrame, seed: int = 0) -> DataFrame:
     target. Returns doc_id, source, size, source_size, target, epochs (complete ones) and times (how often
     the document is taken). The last document of a fraction enters if at least half of it is inside the
     budget. Rows with equal doc_id draw the same key; ties go by doc_id, size and source order of arrival,
-    so repeated rows may swap places without changing the result. An empty table gives an empty table.
+    so repeated rows may swap places without changing the result. A column ``ROW`` of ``sized`` is kept.
+    An empty table gives an empty table.
     """
     weight = F.coalesce(F.col("quality").cast("double"), F.lit(1.0))
     key = F.when(weight > 0, -F.log(uniform(F.col("doc_id"), seed)) / weight).otherwise(F.lit(float("inf")))
-    keyed = sized.select("doc_id", "source", "size", key.alias("__draw"))
+    row = [ROW] if ROW in sized.columns else []
+    keyed = sized.select("doc_id", "source", "size", *row, key.alias("__draw"))
     summed = running_total(
-        ordered_chunks(keyed, ["source"], ["__draw", "doc_id", "size"]), ["source"], "size", "__upto"
+        ordered_chunks(keyed, ["source"], ["__draw", "doc_id", "size", *row]), ["source"], "size", "__upto"
     )
     told = attach_per_key(summed.drop("whole_total"), targets, ["source"], "source_documents")
     # Equal to the target exactly where a source is taken ``repeats`` times, so the fraction is then 0.
@@ -92,7 +96,7 @@ def mix(sized: DataFrame, targets: DataFrame, seed: int = 0) -> DataFrame:
         told.withColumn("epochs", epochs.cast("long"))
         .withColumn("rest", rest)
         .withColumn("times", F.col("epochs") + F.when(enters & (F.col("rest") > 0), 1).otherwise(0))
-        .select("doc_id", "source", "size", "source_size", "target", "epochs", "times")
+        .select("doc_id", "source", "size", "source_size", "target", "epochs", "times", *row)
     )
 
 
@@ -104,7 +108,8 @@ def label_quality(labels: DataFrame, good: float = 1.0, bad: float = 0.5) -> Dat
 
 def sized_documents(docs: DataFrame, size: Column, quality: DataFrame | None = None) -> DataFrame:
     """Written rows (doc_id, source, size, quality) for ``mix``: the texts are read once."""
-    sized = docs.select("doc_id", "source", size.alias("size"))
+    row = [ROW] if ROW in docs.columns else []
+    sized = docs.select("doc_id", "source", size.alias("size"), *row)
     if quality is not None:
         sized = sized.join(quality.select("doc_id", "quality"), "doc_id", "left")
     else:
@@ -112,11 +117,23 @@ def sized_documents(docs: DataFrame, size: Column, quality: DataFrame | None = N
     return materialise(sized, "sized")
 
 
+def numbered_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` written once with a number of each row as column ``ROW``, for ``mix`` and ``repeat_documents``."""
+    return materialise(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered-rows")
+
+
 def repeat_documents(docs: DataFrame, times: DataFrame) -> DataFrame:
-    """The mixed corpus: every row of ``docs`` as often as ``times`` (doc_id, times) says."""
+    """The mixed corpus: every row of ``docs`` as often as ``times`` (of ``mix``) says.
+
+    Rows are told apart by ``ROW`` where both have it, otherwise by doc_id: rows with equal doc_id are then
+    all taken as often as one of them.
+    """
     name = "__times"
-    told = times.groupBy("doc_id").agg(F.max("times").alias(name))
-    joined = join_on_keys(docs, told, ["doc_id"], "inner").filter(F.col(name) > 0)
+    if ROW in docs.columns and ROW in times.columns:
+        joined = docs.join(times.select(ROW, F.col("times").alias(name)), ROW).drop(ROW).filter(F.col(name) > 0)
+    else:
+        told = times.groupBy("doc_id").agg(F.max("times").alias(name))
+        joined = join_on_keys(docs, told, ["doc_id"], "inner").filter(F.col(name) > 0)
     copies = F.explode(F.sequence(F.lit(1), F.col(name).cast("int")))
     return joined.withColumn("__copy", copies).drop(name, "__copy")
 
@@ -136,6 +153,7 @@ __all__ = [
     "label_quality",
     "mix",
     "mix_documents",
+    "numbered_rows",
     "repeat_documents",
     "share_budget",
     "sized_documents",
