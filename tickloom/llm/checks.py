@@ -39,6 +39,67 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM scored QUALIFY rank <= 10
 """
 
+HARD_NEGATIVES = """
+WITH whole AS (
+  SELECT row_number() OVER () AS row, vec_id,
+         CAST(CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS BIGINT) AS label,
+         list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.row, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM whole a JOIN whole c ON a.row <> c.row WHERE a.vec_id % 100 = 0
+),
+positives AS (
+  SELECT row, anchor_id, vec_id AS positive_id, score AS positive_score,
+         CAST(row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS INTEGER) AS positive_place
+  FROM scored WHERE same QUALIFY positive_place <= 5
+)
+SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score, positive_place,
+       CAST(row_number() OVER (PARTITION BY p.row, positive_place ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+FROM positives p JOIN scored s ON s.row = p.row
+  AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+"""
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+cut AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM cut GROUP BY lang),
+phrases AS (
+  SELECT lang, array_to_string(w[i : i + k - 1], ' ') AS phrase, k, CAST(count(*) AS BIGINT) AS f
+  FROM cut, unnest([1, 2, 3]) AS s(k), unnest(range(1, len(w) - k + 2)) AS t(i) GROUP BY ALL HAVING count(*) >= 10
+),
+cuts AS (
+  SELECT lang, phrase, f AS a, k, c, string_split(phrase, ' ') AS w
+  FROM phrases, unnest(range(1, k)) AS t(c) WHERE k > 1
+),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, a, c, x.f AS l, y.f AS r,
+         CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts
+  JOIN phrases x ON x.lang = cuts.lang AND x.phrase = array_to_string(w[:c], ' ')
+  JOIN phrases y ON y.lang = cuts.lang AND y.phrase = array_to_string(w[c + 1 :], ' ')
+  QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY score, c) = 1
+),
+around AS (
+  SELECT lang, array_to_string(string_split(phrase, ' ')[i : i + 1], ' ') AS phrase, max(f) AS longer
+  FROM phrases, unnest([1, 2]) AS t(i) WHERE k = 3 GROUP BY ALL
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM scored LEFT JOIN around USING (lang, phrase) JOIN totals USING (lang)
+WHERE longer IS NULL OR 100 * longer < 50 * a QUALIFY rank <= 2000
+"""
+
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 NEAR = f"""

@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import (
     checks,
+    collocations,
     language,
+    maintext,
     mixing,
     near,
+    negatives,
     neighbours,
     packing,
     sharding,
@@ -121,3 +124,22 @@ def op9_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """A toxicity score for every whole document, learned from the labels that are not held out."""
     return toxicity.score(tables.documents(spark, folder), tables.read(spark, folder, "labels"))
+
+
+@query(checks.HARD_NEGATIVES)
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Five hard negatives for each of the five positives of every hundredth vector; every seventh label is wrong."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(tables.read(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+@query(checks.COLLOCATIONS)
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 2000 collocations of two or three words of each language, from all documents."""
+    return collocations.collocations(tables.documents(spark, folder))
+
+
+@query()
+def op13_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return maintext.extract_main_text(tables.read(spark, folder, "pages"))

@@ -6,19 +6,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def usable(table: DataFrame, component: str = "double", nonzero: bool = False) -> DataFrame:
-    """Rows (vec_id, v) of an embeddings table whose vector can be compared.
+def finite(table: DataFrame, *columns: Column | str) -> DataFrame:
+    """Rows (vec_id, v, and ``columns``) of an embeddings table whose vector is whole: v as doubles.
 
-    Vectors that are null or hold null or non-finite components are left out, also zero ones if
-    ``nonzero``; so are rows without a vec_id. Every distinct (vec_id, vector) counts, and counts once.
+    Vectors that are null or hold null or non-finite components are left out, and rows without a vec_id.
     """
     v = F.transform("embedding", lambda x: x.cast("double"))
-    rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
+    rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"), *columns)
 
     def bad(x: Column) -> Column:
         return x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
 
-    rows = rows.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", bad))
+    return rows.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", bad))
+
+
+def usable(table: DataFrame, component: str = "double", nonzero: bool = False) -> DataFrame:
+    """Rows (vec_id, v) of an embeddings table whose vector can be compared.
+
+    Vectors that are null or hold null or non-finite components are left out, also zero ones if
+    ``nonzero``; so are rows without a vec_id. Every distinct (vec_id, vector) counts, and counts once.
+    """
+    rows = finite(table)
     if nonzero:
         rows = rows.filter(F.exists("v", lambda x: x != 0))
     rows = rows.dropDuplicates(["vec_id", "v"])
