@@ -109,8 +109,8 @@ def test_live_bars_leave_the_state_and_late_ticks_are_repaired(spark, tmp_path):
     stored = spark.read.schema(schema).parquet(folder)
     assert ingest.repair_bars(stored, topic) == 4
     assert ingest.repair_bars(stored, topic) == 0
-    sent = messages.parse_messages(spark.read.parquet(topic), keep=["batch"])
-    assert last_per_key(sent, ["stock", "date"], ["batch"]).count() == 10
+    sent = messages.parse_messages(ingest.read_messages(spark, topic), keep=["arrival"])
+    assert last_per_key(sent, ["stock", "date"], ["arrival"]).count() == 10
 
 
 def test_live_bars_grow_with_later_ticks(spark, tmp_path):
@@ -122,8 +122,8 @@ def test_live_bars_grow_with_later_ticks(spark, tmp_path):
         df.coalesce(1).write.mode("append").parquet(folder)
         stream = spark.readStream.schema(df.schema).parquet(folder)
         ingest.publish_live_bars(stream, topic, progress, available_now=True).awaitTermination()
-        parsed = messages.parse_messages(spark.read.parquet(topic), keep=["batch"])
-        final = last_per_key(parsed, ["stock", "date"], ["batch"])
+        parsed = messages.parse_messages(ingest.read_messages(spark, topic), keep=["arrival"])
+        final = last_per_key(parsed, ["stock", "date"], ["arrival"])
         return {(r["date"], r["open"], r["close"], r["volume"]) for r in final.collect()}
 
     assert run([("A", "2024-01-02 10:00:10", 1, 5.0)]) == {("2024-01-02T10:00:00", 5.0, 5.0, 1.0)}

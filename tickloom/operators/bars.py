@@ -31,6 +31,48 @@ def ohlc_bars(
     return bars.select("stock", F.col("__window.start").alias("bar_start"), "open", "high", "low", "close", "volume")
 
 
+def bar_states(
+    ticks: DataFrame, interval: str = "2 minutes", ts: str = "ts", price: str = "price", tie_break: str = "event_id"
+) -> DataFrame:
+    """Partial bars (stock, bar_start, first, last, high, low, count), which ``merge_states`` adds up in any order."""
+    place = F.struct(F.col(ts).alias("at"), F.col(tie_break).alias("tie"), F.col(price).alias("price"))
+    return (
+        ticks.groupBy("stock", F.window(ts, interval).alias("__window"))
+        .agg(
+            F.min(place).alias("first"),
+            F.max(place).alias("last"),
+            F.max(price).alias("high"),
+            F.min(price).alias("low"),
+            F.count("*").alias("count"),
+        )
+        .select("stock", F.col("__window.start").alias("bar_start"), "first", "last", "high", "low", "count")
+    )
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """One state per symbol and bar from any number of partial ones."""
+    return states.groupBy("stock", "bar_start").agg(
+        F.min("first").alias("first"),
+        F.max("last").alias("last"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.sum("count").alias("count"),
+    )
+
+
+def bars_of_states(states: DataFrame) -> DataFrame:
+    """Merged states as bars, equal to ``ohlc_bars`` over all their ticks."""
+    return states.select(
+        "stock",
+        "bar_start",
+        F.col("first.price").alias("open"),
+        "high",
+        "low",
+        F.col("last.price").alias("close"),
+        F.col("count").cast("double").alias("volume"),
+    )
+
+
 def latest_per_symbol(df: DataFrame, order: list[str], columns: list[str], key: str = "stock") -> DataFrame:
     """The newest row of each symbol, as an aggregate instead of a sort of each symbol's rows."""
     needed = list(dict.fromkeys([key, *order, *columns]))

@@ -33,6 +33,19 @@ def parse_messages(messages: DataFrame, value: str = "value", keep: list[str] |
     return parsed.select(value, *(keep or []), "__m.*")
 
 
+def _parsed(value: str) -> Column:
+    """The message's fields, and the whole text in ``__damaged`` where a field has another type."""
+    fields = StructType([*BAR_MESSAGE.fields, StructField(_DAMAGED, StringType())])
+    return from_json(F.col(value), fields, damaged=_DAMAGED)
+
+
+def _values(value: str) -> Column:
+    """How many JSON values the text holds, separated by commas; null if it is no JSON."""
+    # Not-a-number is no JSON, but a measure like any other here.
+    plain = F.regexp_replace(F.col(value), r":\s*-?(NaN|Infinity)\b", ":null")
+    return F.json_array_length(F.concat(F.lit("["), plain, F.lit("]")))
+
+
 def _readable(value: str) -> Column:
     """The message as an array of one, or of none if it is not a whole, well-typed message.
 
@@ -40,17 +53,40 @@ def _readable(value: str) -> Column:
     a ``null`` measure is not. Testing inside the array parses each text once; a filter on a parsed column
     would be moved before the parsing and parse a second time.
     """
-    text = F.col(value)
-    parsed = from_json(text, StructType([*BAR_MESSAGE.fields, StructField(_DAMAGED, StringType())]), damaged=_DAMAGED)
-    # Not-a-number is no JSON, but a measure like any other here.
-    plain = F.regexp_replace(text, r":\s*-?(NaN|Infinity)\b", ":null")
-    single = F.json_array_length(F.concat(F.lit("["), plain, F.lit("]"))) == 1
+    single = _values(value) == 1
     return F.filter(
-        F.array(parsed),
+        F.array(_parsed(value)),
         lambda m: m["stock"].isNotNull() & m["date"].isNotNull() & m[_DAMAGED].isNull() & single,
     )
 
 
+def judged(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Every message with its fields as struct ``bar`` and the ``reason`` it is rejected for, null if it is not.
+
+    The reasons, first to hold: ``no text``, ``not json``, ``not one object`` (several values, or none), ``wrong
+    type``, ``no symbol``, ``no date``. Rows without a reason are those that ``accepted`` gives.
+    """
+    rows = messages.select(F.col(value).alias("value"), _parsed(value).alias("bar"), _values(value).alias("n"))
+    faults = [
+        (F.col("value").isNull(), "no text"),
+        (F.col("n").isNull(), "not json"),
+        (F.col("n") != 1, "not one object"),
+        (F.col("bar").isNull() | F.col(f"bar.{_DAMAGED}").isNotNull(), "wrong type"),
+        (F.col("bar.stock").isNull(), "no symbol"),
+        (F.col("bar.date").isNull(), "no date"),
+    ]
+    reason = F.coalesce(*[F.when(test, F.lit(name)) for test, name in faults])
+    return rows.select("value", F.col("bar").dropFields(_DAMAGED).alias("bar"), reason.alias("reason"))
+
+
+def stored_bars(judged_rows: DataFrame) -> DataFrame:
+    """The accepted rows of ``judged`` as stored bars, like ``accepted``."""
+    good = judged_rows.filter(F.col("reason").isNull())
+    return good.select(
+        F.col("bar.date").alias("Date"), *[F.col(f"bar.{c.lower()}").alias(c) for c in MEASURES], F.col("bar.stock").alias("stock")
+    )
+
+
 def accepted(messages: DataFrame, value: str = "value") -> DataFrame:
     """Readable messages as stored bars: Date, Open, High, Low, Close, Volume, stock."""
     return messages.select(F.inline(_readable(value))).drop(_DAMAGED).select(
