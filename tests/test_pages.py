@@ -35,6 +35,17 @@ def test_partner_is_kept_without_text(spark):
     assert (row["np1"], row["n1"], row["np2"], row["n2"]) == ("A", "a", "B", "No Data Available")
 
 
+def test_references_are_decoded_once(spark):
+    cases = {
+        "&amp;lt; &lt;&gt;&quot;&apos;&amp;amp;&nbsp;.": "&lt; <>\"'&amp; .",
+        "&amp;eacute; &eacute; &amp;": "&eacute; é &",
+        "&amp;#65; &#65; &am &;": "&#65; A &am &;",
+    }
+    for text, want in cases.items():
+        page = spark.createDataFrame([(f"<p class='x'>{text}</p>",)], "html string")
+        assert extract_fields(page, [("t", "p", "x", 0)]).first()["t"] == want
+
+
 def test_fields_by_tag_and_long_pages(spark):
     html = "<p>x</p>" * 50_000 + '<div class="k">' + "<div>y</div>" * 20_000 + "</div><div class='k'>z</div>"
     fields = [("first", "div", "k", 0), ("second", "div", "k", 1), ("third", "div", "k", 2)]

@@ -5,7 +5,6 @@ elements of the same tag are handled. The text is that of all descendants, witho
 comments, with character references decoded.
 """
 
-import re
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -16,6 +15,7 @@ NO_DATA = "No Data Available"
 # Character references by name: the standard table, with blanks that never break as plain ones.
 NAMED_REFERENCES = {f"&{name}": text for name, text in html5.items() if name.endswith(";")} | {"&nbsp;": " "}
 _SEPARATOR = "\x01"
+_COMMON_REFERENCES = ["&nbsp;", "&lt;", "&gt;", "&quot;", "&apos;", "&amp;"]
 _REFERENCE_TABLE = "".join(f"{k}{v}{_SEPARATOR}" for k, v in NAMED_REFERENCES.items())
 
 # Fields of a company page, the class of the div holding each, and its position.
@@ -50,29 +50,6 @@ def markup(html: Column) -> Column:
     return F.regexp_replace(html, _NOT_MARKUP, "")
 
 
-def tag_pieces(page: Column, tag: str) -> Column:
-    """``markup(html)`` cut before every opening and closing tag of one name."""
-    return F.split(page, rf"(?i)(?=</?{tag}[\s/>])")
-
-
-def _opening(tag: str, class_: str | None) -> str:
-    """Pattern of an opening tag; several classes must be the whole attribute, a single one be in its list."""
-    if class_ is None:
-        return rf"<{tag}[\s/>]"
-    # Tags and attributes are case-insensitive, class names are not. Blanks between names may be any.
-    name = "(?-i:" + r"\s+".join(re.escape(c).replace("'", r"\x27") for c in class_.split()) + ")"
-    whole = len(class_.split()) > 1
-    values = []
-    for quote in (r"\x22", r"\x27"):
-        inner = rf"\s*{name}\s*" if whole else rf"(?:[^{quote}]*\s)?{name}(?:\s[^{quote}]*)?"
-        values.append(quote + inner + quote)
-    if not whole:
-        values.append(rf"{name}(?=[\s>])")
-    value = r"(?:\x22[^\x22]*+\x22|\x27[^\x27]*+\x27|[^\s\x22\x27>]++)"
-    others = rf"(?:[\s/]*+(?!class\s*=)[^\s\x22\x27>=/]++(?:\s*+=\s*+{value})?+)*+"
-    return rf"<{tag}(?=[\s/]){others}[\s/]*+class\s*=\s*(?:{'|'.join(values)})"
-
-
 # The expressions below nest higher-order functions, so they are written as SQL text. ``transform(array(x),
 # v -> …)[0]`` binds x to v, which evaluates it once however often v is used.
 
@@ -87,18 +64,26 @@ def _code_point(number: str) -> str:
 
 
 def _decoded(text: str) -> str:
-    # The name is looked up in one text that holds the whole table.
+    # Where only the few common names occur they are replaced, the ampersand last so that nothing is decoded
+    # twice. Otherwise the text is taken apart; a name is looked up in one text that holds the whole table.
+    common = text
+    for name in _COMMON_REFERENCES:
+        common = f"replace({common}, {_quoted(name)}, {_quoted(NAMED_REFERENCES[name])})"
+    others = "|".join(name[1:-1] for name in _COMMON_REFERENCES)
+    others = f"{text} RLIKE r'&(?!(?:{others});)#?[0-9a-zA-Z]{{1,32}};'"
     table, end = _quoted(_REFERENCE_TABLE), _quoted(_SEPARATOR)
     named = f"if(contains({table}, k), substring_index(substring_index({table}, k, -1), {end}, 1), k)"
     hexadecimal = "CAST(conv(substring(k, 4, length(k) - 4), 16, 10) AS BIGINT)"
     decimal = "CAST(substring(k, 3, length(k) - 3) AS BIGINT)"
     token = f"""CASE
       WHEN NOT startswith(k, '&') OR length(k) < 3 THEN k
+      WHEN k = '&amp;' THEN '&'
       WHEN k RLIKE r'^&#[xX][0-9a-fA-F]{{1,8}};$' THEN {_code_point(hexadecimal)}
       WHEN k RLIKE r'^&#[0-9]{{1,9}};$' THEN {_code_point(decimal)}
       ELSE {named} END"""
     tokens = f"regexp_extract_all({text}, r'(?s)(&#?[0-9a-zA-Z]{{1,32}};|[^&]+|&)', 1)"
-    return f"if(contains({text}, '&'), array_join(transform({tokens}, k -> {token}), ''), {text})"
+    taken_apart = f"array_join(transform({tokens}, k -> {token}), '')"
+    return f"CASE WHEN NOT contains({text}, '&') THEN {text} WHEN {others} THEN {taken_apart} ELSE {common} END"
 
 
 def _plain(markup_text: str) -> str:
@@ -107,23 +92,53 @@ def _plain(markup_text: str) -> str:
     return f"transform(array({stripped}), t -> {_decoded('t')})[0]"
 
 
-def element_texts(pieces: str, tag: str, class_: str | None, first: int) -> Column:
+def tag_table(page: str, tag: str, classes: bool = True) -> Column:
+    """The page, a column made by ``markup``, cut before every opening and closing tag of one name.
+
+    An array of (opens, shuts, classes, part): whether the part starts with such a tag, its class names between
+    single blanks, and the markup up to the next one. Made once; every field is a lookup in it. Quotes and the
+    class attribute are read here, as tags and attributes are case-insensitive and values may hold any text.
+    Without ``classes`` no class is read, for a tag that is only looked up by name.
+    """
+    value = r"(?:\x22[^\x22]*+\x22|\x27[^\x27]*+\x27|[^\s\x22\x27>]++)"
+    others = rf"(?:[\s/]*+(?!class\s*=)[^\s\x22\x27>=/]++(?:\s*+=\s*+{value})?+)*+"
+    class_ = rf"(?i)^<{tag}(?=[\s/]){others}[\s/]*+class\s*=\s*({value})"
+    inner = r"if(v RLIKE r'^[\x22\x27]', substring(v, 2, length(v) - 2), v)"
+    names = rf"""transform(array(regexp_extract(x, r'{class_}', 1)), v ->
+      regexp_replace(concat(' ', {inner}, ' '), r'\s+', ' '))[0]"""
+    names = names if classes else "''"
+    return F.expr(
+        rf"""transform(split({page}, r'(?i)(?=</?{tag}[\s/>])'), x ->
+          transform(array(x RLIKE r'(?i)^<{tag}[\s/>]'), o ->
+            named_struct('opens', o, 'shuts', startswith(x, '</'), 'classes', if(o, {names}, ''), 'part', x))[0])"""
+    )
+
+
+def _has_classes(class_: str | None) -> str:
+    """Test of one entry of a tag table: several classes must be the whole attribute, a single one be in its list."""
+    if class_ is None:
+        return "e.opens"
+    wanted = _quoted(f" {' '.join(class_.split())} ")
+    return f"e.classes = {wanted}" if len(class_.split()) > 1 else f"contains(e.classes, {wanted})"
+
+
+def element_texts(tags: str, class_: str | None, first: int) -> Column:
     """Texts of the first so many matching elements, in page order.
 
-    ``pieces`` names a column made by ``tag_pieces`` for the same tag. An element runs from its opening
-    piece to the closing tag that balances it, or to the end of the page.
+    ``tags`` names a column made by ``tag_table``. An element runs from its opening tag to the closing
+    one that balances it, or to the end of the page.
     """
-    depth = "a.depth + if(startswith(x, '</'), -1, 1)"
+    depth = "a.depth + if(e.shuts, -1, 1)"
     balanced = f"""aggregate(s, named_struct('depth', 0, 'seen', 0, 'end', 0),
-      (a, x) -> named_struct('depth', {depth}, 'seen', a.seen + 1,
-                             'end', if(a.end = 0 AND {depth} = 0, a.seen, a.end)),
-      a -> a.end)"""
-    inner = "array_join(if(e > 0, slice(s, 1, e), s), '')"
-    text = f"transform(array({balanced}), e -> {_plain(inner)})[0]"
-    matches = f"filter(sequence(1, size({pieces})), i -> {pieces}[i - 1] RLIKE r'(?i)^{_opening(tag, class_)}')"
+      (a, e) -> if(a.end > 0, a, named_struct('depth', {depth}, 'seen', a.seen + 1,
+                                              'end', if({depth} = 0, a.seen + 1, 0))),
+      a -> if(a.end > 0, a.end - 1, size(s)))"""
+    # The closing tag itself, with what follows it, is not part of the element.
+    text = f"transform(array(array_join(transform(slice(s, 1, {balanced}), e -> e.part), '')), m -> {_plain('m')})[0]"
+    matches = f"filter(sequence(1, size({tags})), i -> transform(array({tags}[i - 1]), e -> {_has_classes(class_)})[0])"
     return F.expr(
         f"""transform(slice({matches}, 1, {first}),
-              i -> transform(array(slice({pieces}, i, size({pieces}))), s -> {text})[0])"""
+              i -> transform(array(slice({tags}, i, size({tags}))), s -> {text})[0])"""
     )
 
 

@@ -11,7 +11,7 @@ from tickloom.functions.pages import (
     markup,
     nth_text,
     paired_text,
-    tag_pieces,
+    tag_table,
 )
 
 
@@ -24,8 +24,8 @@ def extract_fields(
 ) -> DataFrame:
     """Add one text column per ``(name, tag, class, position)``.
 
-    The page is cleaned once, cut once per tag, and each distinct (tag, class) is searched once however
-    many positions are taken from it. Narrow: no shuffle, no Python.
+    The page is cleaned once, read once per tag name into a table of its tags, and each distinct (tag, class)
+    is looked up there once, however many positions are taken from it. Narrow: no shuffle, no Python.
     """
     keep = [c for c in pages.columns if c != html] if keep is None else keep
     wanted: dict[tuple[str, str | None], int] = {}
@@ -34,11 +34,11 @@ def extract_fields(
     names = {lookup: f"__texts_{i}" for i, lookup in enumerate(wanted)}
     tags = sorted({tag for tag, _ in wanted})
     cleaned = pages.select(*keep, markup(F.col(html)).alias("__page"))
-    cut = cleaned.select(*keep, *[tag_pieces(F.col("__page"), t).alias(f"__{t}") for t in tags])
+    cut = cleaned.select(*keep, *[tag_table("__page", t, any(c for n, c in wanted if n == t)).alias(f"__{t}") for t in tags])
     searched = cut.select(
         *keep,
         *[
-            element_texts(f"__{tag}", tag, class_, first).alias(names[(tag, class_)])
+            element_texts(f"__{tag}", class_, first).alias(names[(tag, class_)])
             for (tag, class_), first in wanted.items()
         ],
     )

@@ -185,19 +185,21 @@ def score_new_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     BARS
-    + """ SELECT count(*) AS n, true AS fitted, round(regr_slope(v, v), 4) AS volume_kept
+    + """ SELECT count(*) AS n, count(*) AS predicted, sum(v) AS volume, min(v) AS least, max(v) AS most
 FROM (SELECT CAST(volume * 100000000 AS DECIMAL(20, 2))::DOUBLE AS v FROM bars)"""
 )
 def pooled_model_cleaned(spark: SparkSession, folder: str) -> DataFrame:
-    """Clean, assemble, fit and score with volumes beyond the range of prices: no bar is lost on the way."""
+    """Clean, assemble, fit and score with volumes beyond the range of prices: no bar and no volume is lost on the way."""
     wide = bar_table(bars(spark, folder), iso_text(F.col("bar_start"))).withColumn("Volume", F.col("Volume") * 1e8)
     cleaned = clean.clean_bars(wide)
     rows = materialise(cleaned.select(*[F.col(c).cast("double").alias(c) for c in [*FEATURES, LABEL]]), "cleaned")
     scored = model.score(model.fit(model.assemble(rows)), rows)
     return scored.agg(
         F.count("*").alias("n"),
-        (F.count("prediction") == F.count("*")).alias("fitted"),
-        F.round(F.regr_slope("Volume", "Volume"), DIGITS).alias("volume_kept"),
+        F.count("prediction").alias("predicted"),
+        F.sum("Volume").alias("volume"),
+        F.min("Volume").alias("least"),
+        F.max("Volume").alias("most"),
     )
 
 
