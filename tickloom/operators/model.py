@@ -6,7 +6,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.operators.spread import attach_per_key, following
@@ -101,6 +101,11 @@ def least_squares_per_key(
             for i, j in combinations_with_replacement(range(len(columns)), 2)
         ],
     )
+    return _solved(moments, keys, features)
+
+
+def _solved(moments: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
+    """Least squares from ``n``, means ``__mean_i`` and covariances ``__m_i_j``, eliminated column by column."""
     k = len(features)
     state = moments.withColumns({f"__v_{i}": F.col(f"__m_{i}_{i}") for i in range(k)})
     for p in range(k):
@@ -132,6 +137,53 @@ def least_squares_per_key(
     )
 
 
+def moment_sums(rows: DataFrame, keys: list[str], features: list[str] = FEATURES, label: str = LABEL) -> DataFrame:
+    """Counts, sums and sums of products per key (such as symbol and day), which add up in any order.
+
+    Rows with a missing value are left out. Sums are of doubles; features of very different size from their spread
+    should be centred by a constant first.
+    """
+    columns = [*features, label]
+    values = [F.col(c).cast("double") for c in columns]
+    return rows.na.drop("any", subset=columns).groupBy(*keys).agg(
+        F.count("*").alias("n"),
+        *[F.sum(v).alias(f"s_{i}") for i, v in enumerate(values)],
+        *[
+            F.sum(values[i] * values[j]).alias(f"s_{i}_{j}")
+            for i, j in combinations_with_replacement(range(len(columns)), 2)
+        ],
+    )
+
+
+def merge_moments(sums: DataFrame, keys: list[str]) -> DataFrame:
+    """The moments of each key added up."""
+    return sums.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums.columns if c == "n" or c.startswith("s_")])
+
+
+def rolling_moments(sums: DataFrame, keys: list[str], day: str, days: int) -> DataFrame:
+    """Per key and day the moments of the last ``days`` days, that day included.
+
+    The window sees one row per key and day, however many rows a day has; days join and leave its sums.
+    """
+    number = F.datediff(F.col(day), F.lit("1970-01-01").cast("date"))
+    window = Window.partitionBy(*keys).orderBy(number).rangeBetween(1 - days, 0)
+    names = [c for c in sums.columns if c == "n" or c.startswith("s_")]
+    return sums.select(*keys, day, *[F.sum(c).over(window).alias(c) for c in names])
+
+
+def models_of_moments(
+    sums: DataFrame, keys: list[str], features: list[str] = FEATURES
+) -> DataFrame:
+    """One least-squares model per row of moments: ``keys``, ``n``, ``intercept`` and ``coef_<feature>``."""
+    count = len(features) + 1
+    means = {f"__mean_{i}": F.col(f"s_{i}") / F.col("n") for i in range(count)}
+    pairs = list(combinations_with_replacement(range(count), 2))
+    central = {
+        f"__m_{i}_{j}": F.col(f"s_{i}_{j}") / F.col("n") - F.col(f"__mean_{i}") * F.col(f"__mean_{j}") for i, j in pairs
+    }
+    return _solved(sums.withColumns(means).withColumns(central), keys, features)
+
+
 def score_per_key(
     rows: DataFrame, models: DataFrame, keys: list[str], features: list[str] = FEATURES
 ) -> DataFrame:

@@ -67,6 +67,10 @@ def attach_per_key(
     # Maps and variants have no hash.
     hashable = [c for c, kind in rows.dtypes if "map<" not in kind and "variant" not in kind]
     spread = F.xxhash64(*hashable) + F.spark_partition_id()
+    if how == "inner" and hot.isEmpty():
+        # A plain join on the keys. The filter, true for all rows, marks the table as selective: from it Spark makes a
+        # Bloom filter for the scan of ``rows`` (see ``session.SETTINGS``), so that others never reach the shuffle.
+        return join_on_keys(rows, per_key.filter(F.col(count_col) > 0), keys, how)
     if fits_broadcast(hot, broadcast_rows):
         salt = F.pmod(spread, F.coalesce("__slices", F.lit(1))).cast("int")
         salted = join_on_keys(rows, F.broadcast(hot), keys).withColumn("__salt", salt).drop("__slices")

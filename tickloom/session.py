@@ -8,6 +8,11 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Bloom filters of listed keys, tested in the scan before a shuffled join: for scans from 1 GB, lists up to 256 MB.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1g",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256m",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "8000000",
     # Streaming state on local disk instead of the executor's heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

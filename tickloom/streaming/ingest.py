@@ -3,6 +3,8 @@
 ``available_now=True`` works off what is there and stops; otherwise the query polls at ``every``.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -307,6 +309,28 @@ def fold_bar_states(spark: SparkSession, folder: str, target_bytes: int = 128 <<
     return len(store.fold(spark, f"{folder}/states", _daily_states, target_bytes, ["day"], fan))
 
 
+def ingest_summaries(
+    rows: DataFrame,
+    folder: str,
+    checkpoint: str,
+    summarise: Callable[[DataFrame], DataFrame],
+    merge: Callable[[DataFrame], DataFrame],
+    available_now: bool = False,
+    every: str = BAR_TRIGGER,
+) -> StreamingQuery:
+    """Store a mergeable summary of each trigger's rows, such as moments or quantile sketches per symbol and day.
+
+    ``merge`` adds up summaries; it folds old triggers now and then. ``merge(store.read(spark, folder))`` is the
+    summary of all rows of all streams that write to the folder, late ones included.
+    """
+
+    def keep(batch: DataFrame, number: int) -> None:
+        store.append(summarise(batch), folder, _writer(batch), number)
+        _fold_now_and_then(batch, number, folder, merge)
+
+    return _start(rows.writeStream.foreachBatch(keep), checkpoint, available_now, every)
+
+
 def ingest_silences(
     rows: DataFrame,
     folder: str,
