@@ -172,6 +172,7 @@ def _against_all(rows: DataFrame, anchors: DataFrame, shards: int, blocks: int,
 
     left = rows.select(part(shards, 1).alias("shard"), to_all(blocks).alias("block"), "*")
     right = anchors.select(to_all(shards).alias("shard"), part(blocks, 2).alias("block"), "*")
+    right = right.toDF(*right.columns)  # columns of its own: both sides come from one table
     names = [f.split()[0] for f in schema.split(",")]
     empty = pa.table({name: pa.array([], pa.int64()) for name in names})
 
