@@ -143,7 +143,7 @@ def some_docs():
     return docs
 
 
-@pytest.mark.parametrize("limits", [{}, {"SMALL": 4}, {"SMALL": 8, "HOT_SUFFIXES": 6, "CHUNK_SUFFIXES": 40, "CHUNK_BYTES": 700}])
+@pytest.mark.parametrize("limits", [{}, {"SMALL": 4}, {"SMALL": 8, "HOT_SUFFIXES": 6, "CHUNK_SUFFIXES": 40, "CHUNK_BYTES": 700, "OVERFULL": 2}])
 def test_collocations_match_a_plain_version(spark, monkeypatch, limits):
     for name, value in limits.items():
         monkeypatch.setattr(collocations, name, value)

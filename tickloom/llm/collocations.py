@@ -11,6 +11,7 @@ can abandon infrequent parts for good. A word with very many suffixes is routed
 such a pair by all three, so that no word or pair has to fit in one task.
 """
 
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 
@@ -22,13 +23,15 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.hashing import slices
 from tickloom.operators.spread import attach_per_key
-from tickloom.storage import new_path
+from tickloom.storage import materialise, new_path
 
 # Bytes of text sorted at once; more equal suffixes meet in larger chunks.
 CHUNK_BYTES = 12 << 20
-# Suffixes sorted at once after routing, and the number from which a word or pair is routed by one word more.
+# Suffixes sorted at once after routing, and those of one lead, or one part of it, that stay together.
 CHUNK_SUFFIXES = 1 << 20
 HOT_SUFFIXES = 1 << 19
+# A part of a lead that holds this many times its share is routed by one word more.
+OVERFULL = 4
 # Parts up to this size are sorted directly, many at a time.
 SMALL = 1024
 # What ends a piece, and blanks inside it; only A-Z are lower-cased.
@@ -163,8 +166,8 @@ def pieces_of(texts: list[bytes]) -> Iterator[bytes]:
             begin = end
 
 
-def local_suffixes(texts: list[bytes], depth: int) -> pa.Table:
-    """What follows each word of folded texts: lead, tails, counts, suffixes, weight.
+def local_suffixes(lang: str, texts: list[bytes], depth: int) -> list[pa.RecordBatch]:
+    """What follows each word of folded texts of a language, a row per word: ``ROWS``.
 
     ``tails`` has a line per distinct suffix behind the lead, its words joined by blanks, rising in the order
     of some numbering; ``counts`` their numbers as 32-bit integers. Suffixes without a second word have none.
@@ -180,7 +183,8 @@ def local_suffixes(texts: list[bytes], depth: int) -> pa.Table:
         columns.append(word)
     real = number != END
     words, counts = distinct_suffixes([c[real] for c in columns])
-    return packed(words[0], words[1:], counts, names)
+    first, columns = packed(words[0], words[1:], counts, names)
+    return as_rows(lang, names.take(pa.array(words[0][first])), np.zeros(len(first)), columns)
 
 
 def joined(words: list[np.ndarray], names: pa.Array) -> pa.Array:
@@ -191,13 +195,11 @@ def joined(words: list[np.ndarray], names: pa.Array) -> pa.Array:
     return pa.compute.binary_join_element_wise(*known, b" ", null_handling="skip")
 
 
-def packed(lead: np.ndarray, tails: list[np.ndarray], weights: np.ndarray, names: pa.Array) -> pa.Table:
-    """One row per run of equal ``lead``, its tails as lines."""
-    first = run_starts([lead])
-    total = sums(weights, first)
-    leads = names.take(pa.array(lead[first]))
+def packed(group: np.ndarray, tails: list[np.ndarray], weights: np.ndarray, names: pa.Array) -> tuple[np.ndarray, dict]:
+    """The tails of each run of equal ``group`` as lines: where the runs start, and the columns of a row for each."""
+    first = run_starts([group])
     has = tails[0] != END
-    group = np.cumsum(np.append(0, has))[np.append(first, len(lead))]
+    behind = np.cumsum(np.append(0, has))[np.append(first, len(group))]
     lines = joined([t[has] for t in tails], names)
     lines = pa.compute.binary_join_element_wise(lines, b"", b"\n") if len(lines) else pa.array([], pa.binary())
     offsets = np.frombuffer(lines.buffers()[1], np.int32)[: len(lines) + 1] if len(lines) else np.zeros(1, np.int32)
@@ -207,23 +209,21 @@ def packed(lead: np.ndarray, tails: list[np.ndarray], weights: np.ndarray, names
     def cut(at: np.ndarray, data) -> pa.Array:
         return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32)), data])
 
-    return pa.table(
-        {
-            "lead": leads.cast(pa.string()),
-            "tails": cut(offsets[group], lines.buffers()[2] if len(lines) else pa.py_buffer(b"")),
-            "counts": cut(group * 4, pa.py_buffer(counts.tobytes())),
-            "suffixes": pa.array(np.diff(group), pa.int64()),
-            "weight": pa.array(total, pa.int64()),
-        }
-    )
+    return first, {
+        "tails": cut(offsets[behind], lines.buffers()[2] if len(lines) else pa.py_buffer(b"")),
+        "counts": cut(behind * 4, pa.py_buffer(counts.tobytes())),
+        "suffixes": pa.array(np.diff(behind), pa.int64()),
+        "weight": pa.array(sums(weights, first), pa.int64()),
+    }
 
 
-ROWS = "lang string, lead string, tails binary, counts binary, suffixes long, weight long"
+ROWS = "lang string, lead string, part int, tails binary, counts binary, suffixes long, weight long"
 
 
-def _with_lang(table: pa.Table, lang) -> pa.Table:
-    langs = pa.array([lang] * table.num_rows, pa.string()) if isinstance(lang, str) else lang
-    return table.add_column(0, "lang", langs)
+def as_rows(lang: str, lead: pa.Array, part: np.ndarray, columns: dict) -> list[pa.RecordBatch]:
+    langs = pa.array([lang] * len(lead), pa.string())
+    rows = {"lang": langs, "lead": lead.cast(pa.string()), "part": pa.array(part, pa.int32()), **columns}
+    return pa.table(rows).to_batches(max_chunksize=4096)
 
 
 def _sort_texts(depth: int):
@@ -235,7 +235,7 @@ def _sort_texts(depth: int):
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang in sorted(waiting):
-                yield from _with_lang(local_suffixes(waiting[lang], depth), lang).to_batches(max_chunksize=4096)
+                yield from local_suffixes(lang, waiting[lang], depth)
             waiting.clear()
 
         for batch in batches:
@@ -271,33 +271,41 @@ def unpacked(tails: pa.Array, counts: pa.Array, columns: int) -> tuple[list[np.n
     return out, weights, names
 
 
-def _route_deeper(depth: int):
-    """Rows of ``lead`` to rows of the lead and its next word; ``depth`` words follow the lead."""
+def _per_row(depth: int, split):
+    """``split`` every row (lang, lead, tails, counts, slices) that has something behind its lead."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                row = batch.slice(i, 1)
-                tails, weights, names = unpacked(row.column(2), row.column(3), depth)
-                if not len(weights):
-                    continue
-                # The lines of a row are sorted by their words already; equal ones stand together.
-                rest = tails[1:] or [np.full(len(weights), END)]
-                table = packed(tails[0], rest, weights, names)
-                lead = row.column(1)[0].as_py().encode()
-                leads = pa.compute.binary_join_element_wise(lead, table["lead"].cast(pa.binary()), b" ")
-                table = table.set_column(0, "lead", leads.cast(pa.string()))
-                yield from _with_lang(table, row.column(0)[0].as_py()).to_batches(max_chunksize=4096)
+                lang, lead, tails, counts, slices_ = batch.slice(i, 1).columns
+                words, weights, names = unpacked(tails, counts, depth)
+                if len(weights):
+                    yield from split(lang[0].as_py(), lead[0].as_py(), words, weights, names, slices_[0].as_py())
 
     return run
 
 
+def deal(lang: str, lead: str, words: list[np.ndarray], weights: np.ndarray, names: pa.Array, count: int):
+    """The suffixes of a lead in ``count`` parts, by the hash of the word behind it."""
+    part = np.array([zlib.crc32(w) % count for w in names.to_pylist()], np.int64)[words[0]]
+    order = np.argsort(part, kind="stable")
+    first, columns = packed(part[order], [w[order] for w in words], weights[order], names)
+    return as_rows(lang, pa.array([lead] * len(first), pa.string()), part[order][first], columns)
+
+
+def lengthen(lang: str, lead: str, words: list[np.ndarray], weights: np.ndarray, names: pa.Array, count: int):
+    """A row for the lead with each word behind it; equal words stand together already."""
+    first, columns = packed(words[0], words[1:] or [np.full(len(weights), END)], weights, names)
+    longer = pa.compute.binary_join_element_wise(lead.encode(), names.take(pa.array(words[0][first])), b" ")
+    return as_rows(lang, longer, np.zeros(len(first)), columns)
+
+
 def _sort_routed(depth: int, least: int):
-    """Rows sorted by (lang, lead), each with up to ``depth`` words behind the lead, to frequent phrases."""
+    """Rows sorted by (lang, lead, part), each with up to ``depth`` words behind the lead, to frequent phrases."""
 
     def phrases(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         langs, leads = rows["lang"].combine_chunks(), rows["lead"].combine_chunks()
-        keys = [c.dictionary_encode().indices.to_numpy() for c in (langs, leads)]
+        keys = [c.dictionary_encode().indices.to_numpy() for c in (langs, leads)] + [rows["part"].to_numpy()]
         before = np.append(0, np.cumsum(rows["suffixes"].to_numpy()))
         first_row = run_starts(keys)
         starts, ends = before[first_row], before[np.append(first_row[1:], rows.num_rows)]
@@ -319,9 +327,9 @@ def _sort_routed(depth: int, least: int):
         waiting, size, last = [], 0, None
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            # Cut only between leads, so that a lead's suffixes are sorted together.
+            # Cut only between leads and parts, whose suffixes are sorted together.
             sizes = table["suffixes"].to_numpy()
-            keys = list(zip(table["lang"].to_pylist(), table["lead"].to_pylist(), strict=True))
+            keys = list(zip(*(table[c].to_pylist() for c in ("lang", "lead", "part")), strict=True))
             begin = 0
             for i, key in enumerate(keys):
                 if size >= CHUNK_SUFFIXES and key != last:
@@ -365,18 +373,29 @@ def phrase_counts(docs: DataFrame, lang: str = "lang", longest: int = 3, least:
         if not behind:
             break
         size = leads.agg(F.sum("s").alias("all"), F.max("s").alias("most")).first()
-        any_hot = (size["most"] or 0) > HOT_SUFFIXES
-        if any_hot:
-            hot = leads.filter(F.col("s") > HOT_SUFFIXES).select("lang", "lead", "__rows", F.lit(True).alias("hot"))
-            told = attach_per_key(rows, hot, ["lang", "lead"], "__rows").drop("__rows")
-            rows = told.filter("hot IS NULL").drop("hot")
-        parts = max(asked, -(-(size["all"] or 0) // CHUNK_SUFFIXES))
-        routed = rows.repartition(parts, "lang", "lead").sortWithinPartitions("lang", "lead")
+        overfull = None
+        if (size["most"] or 0) > HOT_SUFFIXES:
+            slices_ = F.ceil(F.col("s") / HOT_SUFFIXES).cast("int").alias("slices")
+            hot = leads.filter(F.col("s") > HOT_SUFFIXES).select("lang", "lead", "__rows", slices_)
+            told = attach_per_key(rows, hot, ["lang", "lead"], "__rows")
+            needed = ["lang", "lead", "tails", "counts", "slices"]
+            dealt = told.filter("slices > 1").select(needed).mapInArrow(_per_row(behind, deal), ROWS)
+            dealt = _written(dealt, "dealt")
+            parts = dealt.groupBy("lang", "lead", "part").agg(F.sum("suffixes").alias("s"), F.count("*").alias("__rows"))
+            overfull = materialise(parts.filter(F.col("s") > OVERFULL * HOT_SUFFIXES), "overfull")
+            overfull = overfull.withColumn("slices", F.lit(0)).drop("s") if not overfull.isEmpty() else None
+            if overfull is not None:
+                dealt = attach_per_key(dealt, overfull, ["lang", "lead", "part"], "__rows")
+                lengthened = dealt.filter("slices = 0").select(needed).mapInArrow(_per_row(behind, lengthen), ROWS)
+                dealt = dealt.filter("slices IS NULL").drop("slices", "__rows")
+            rows = told.filter("slices IS NULL").drop("slices", "__rows").unionByName(dealt)
+        tasks = max(asked, -(-(size["all"] or 0) // CHUNK_SUFFIXES))
+        key = ["lang", "lead", "part"]
+        routed = rows.repartition(tasks, *key).sortWithinPartitions(*key)
         frequent.append(routed.mapInArrow(_sort_routed(behind, least), "lang string, phrase string, f long"))
-        if not any_hot:
+        if overfull is None:
             break
-        deeper = told.filter("hot").drop("hot").mapInArrow(_route_deeper(behind), ROWS)
-        rows = _written(deeper, "suffixes")
+        rows = _written(lengthened, "suffixes")
     return totals, _written(reduce(DataFrame.unionByName, frequent), "phrases")
 
 
