@@ -31,8 +31,11 @@ from tickloom.llm.tables import free_name, materialise, partitions, text_key
 from tickloom.storage import new_path
 
 WIDTH = 35
-#: Bytes of text of one bucket, which a task holds at once.
+#: Bytes of text of one bucket, which a task holds at once (0.6 GB of memory), and the most buckets. The exchange of
+#: hashes has a row per bucket and part of the hash range, so beyond 65,536 buckets (8 TB) they grow instead: 1.5 GB of
+#: text each, and 7 GB of a task's memory, at 100 TB.
 BUCKET_BYTES = 1 << 27
+MOST_BUCKETS = 1 << 16
 ANCHOR_BASE = 0xD1B54A32D192ED03
 WINDOW_BASES = (0x8CB92BA72F3D8DD7, 0xABC98388FB8FAC03)
 
@@ -286,8 +289,11 @@ def first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), text], ["k1", "k2", "text"])
 
 
-def bucketed_texts(keyed: DataFrame, buckets: int) -> DataFrame:
-    """Distinct texts (bucket, k1, k2, text, copies), stored by bucket; ``copies`` is exact only up to 2."""
+def bucketed_texts(keyed: DataFrame, buckets: int) -> str:
+    """The name of a table of distinct texts (bucket, k1, k2, text, copies), stored by bucket; drop it after use.
+
+    ``copies`` is exact only up to 2.
+    """
     spark = keyed.sparkSession
     distinct = (
         keyed.select("k1", "k2", "text")
@@ -305,17 +311,18 @@ def bucketed_texts(keyed: DataFrame, buckets: int) -> DataFrame:
         .option("compression", "zstd")
         .saveAsTable(name)
     )
-    return spark.table(name)
+    return name
 
 
 def find_repeats(
-    docs: DataFrame, width: int = WIDTH, bucket_bytes: int = BUCKET_BYTES
+    docs: DataFrame, width: int = WIDTH, bucket_bytes: int = BUCKET_BYTES, most_buckets: int = MOST_BUCKETS
 ) -> tuple[DataFrame, DataFrame]:
     """Two tables: the rows' keys (doc_id, k1, k2), and per text (k1, k2) what is left of it.
 
     A row of the second has n_words, n_removed, kept_sha256 and the word ranges (starts, ends) of the
     maximal exact repeats: every word that a window covers whose words also start anywhere else. Buckets
-    are as many as the session's shuffle partitions, or more where they would pass ``bucket_bytes``.
+    are as many as the session's shuffle partitions, or more where they would pass ``bucket_bytes``, up to
+    ``most_buckets``.
     """
     k1, k2 = text_key(F.col("text"))
     plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -323,8 +330,7 @@ def find_repeats(
     size = F.octet_length("text").cast("long").alias("n_bytes")
     keys = materialise(keyed.select("doc_id", "k1", "k2", size), "text-keys")
     total = keys.agg(F.sum("n_bytes")).first()[0] or 0
-    parts = max(partitions(docs), -(-total // bucket_bytes))
-    texts = bucketed_texts(keyed, parts)
+    parts = min(most_buckets, max(partitions(docs), -(-total // bucket_bytes)))
 
     def anchors(key: tuple, table: pa.Table) -> pa.Table:
         return anchor_rows(table, key[0].as_py(), parts, width)
@@ -335,13 +341,19 @@ def find_repeats(
     def kept(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         return kept_rows(left, right, parts, width)
 
-    sent = texts.groupBy("bucket").applyInArrow(anchors, ANCHORS)
-    hits = materialise(sent.repartitionById(parts, F.col("part")).mapInArrow(hit_blocks, HITS), "anchors")
-    around = texts.groupBy("bucket").cogroup(hits.groupBy("bucket")).applyInArrow(candidates, WINDOWS)
-    bits = around.repartitionById(parts, F.col("part")).mapInArrow(repeated_windows, HITS)
-    told = hits.unionByName(materialise(bits, "repeats"))
-    left = texts.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(kept, KEPT)
-    return keys, materialise(left, "kept")
+    name = bucketed_texts(keyed, parts)
+    try:
+        texts = docs.sparkSession.table(name)
+        sent = texts.groupBy("bucket").applyInArrow(anchors, ANCHORS)
+        hits = materialise(sent.repartitionById(parts, F.col("part")).mapInArrow(hit_blocks, HITS), "anchors")
+        around = texts.groupBy("bucket").cogroup(hits.groupBy("bucket")).applyInArrow(candidates, WINDOWS)
+        bits = around.repartitionById(parts, F.col("part")).mapInArrow(repeated_windows, HITS)
+        told = hits.unionByName(materialise(bits, "repeats"))
+        left = texts.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(kept, KEPT)
+        return keys, materialise(left, "kept")
+    finally:
+        # Only the catalogue's entry goes; the files are working files like any other.
+        docs.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def digest(docs: DataFrame, width: int = WIDTH) -> DataFrame:
