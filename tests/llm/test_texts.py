@@ -9,7 +9,8 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from tickloom.llm import near, packing, substrings, tokens
+from tickloom.llm import components, near, packing, substrings, tokens
+from tickloom.operators import spread
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -144,6 +145,39 @@ def test_one_of_each_group_stays(docs_of):
     assert near.near_duplicates(docs_of([]), 5, 80).count() == 0
 
 
+def test_unlike_rows_stay_whatever_their_ids(spark, docs_of):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = docs_of([(1, a), (1, b), (2, c), (2, c), (3, a + " more"), (4, None), (4, ""), (None, a)])
+    kept = near.drop_near_duplicates(rows, 5, 80)
+    assert kept.columns == rows.columns
+    assert sorted(((r["doc_id"] or -1), r["text"] or "") for r in kept.collect()) == sorted(
+        [(1, a), (1, b), (2, c), (4, ""), (4, ""), (-1, a)]
+    )
+    named = spark.createDataFrame([("x", a, 1), ("b", a, 2), ("y", c, 3)], "doc_id string, text string, row int")
+    assert sorted(map(tuple, near.drop_near_duplicates(named, 5, 80).collect())) == [("b", a, 2), ("y", c, 3)]
+
+
+def test_a_hub_of_very_many_copies_is_one_component(spark, monkeypatch):
+    """Beyond the broadcast bound a hot node's edges are divided over tasks; the components stay the same."""
+    monkeypatch.setattr(components, "ROWS_PER_SLICE", 50)
+    monkeypatch.setattr(spread, "fits_broadcast", lambda df, rows=0: "__slices" in df.columns)
+    edges = [(5, i) for i in range(6, 900)] + [(i, i + 1) for i in range(1000, 1060)] + [(3, 5), (2000, 2000)]
+    found = components.components(spark.createDataFrame(edges, "u long, v long"))
+    got = {r["node"]: r["component"] for r in found.collect()}
+    assert got == {**{i: 3 for i in [3, *range(5, 900)]}, **{i: 1000 for i in range(1000, 1061)}}
+
+
+def test_fewer_buckets_than_the_bytes_ask_for(spark, docs_of):
+    texts = corpus(3)
+    tables_before = {t.name for t in spark.catalog.listTables()}
+    want = sorted(map(tuple, substrings.digest(docs_of(texts), 35).collect()))
+    for bucket_bytes, most in ((200, 3), (200, 70), (1 << 30, 1)):
+        keys, left = substrings.find_repeats(docs_of(texts), 35, bucket_bytes, most)
+        got = keys.join(left, ["k1", "k2"]).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+        assert sorted(map(tuple, got)) == want
+    assert {t.name for t in spark.catalog.listTables()} == tables_before
+
+
 def test_a_document_of_several_texts_is_linked_by_any(docs_of):
     one, other, third = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
     rows = [(1, one), (1, other), (2, one + " end"), (3, other + " end"), (4, third), (1, one)]

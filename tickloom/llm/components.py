@@ -4,6 +4,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.tables import materialise
+from tickloom.operators.spread import attach_per_key
+
+# Edges of one node that a join task handles.
+ROWS_PER_SLICE = 1_000_000
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -16,19 +20,23 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates two steps until nothing changes. In the first, each node ties its larger neighbours to the
     smallest one it knows; in the second, its smaller ones. Both keep components, and end in stars. A node
-    with very many neighbours is reduced before it is shuffled, and its join is one that Spark can split.
+    with very many neighbours is reduced before it is shuffled, and ``attach_per_key`` broadcasts the smallest
+    neighbours or divides the rows of such a node over several tasks by their number.
     """
     stars = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct()
     stars = materialise(stars, "edges")
     known = _fingerprint(stars)
     while known[0]:
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.filter("u <> v").distinct()
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        least = least.select("u", F.least("u", "m").alias("m"), "n")
+        large = attach_per_key(both, least, ["u"], "n", rows_per_slice=ROWS_PER_SLICE).filter("v > u")
+        large = large.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        large = materialise(large, "large")
         # Every edge now runs from the larger to the smaller node.
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        least = materialise(least, "least")
+        small = attach_per_key(large, least, ["u"], "n", rows_per_slice=ROWS_PER_SLICE)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             least.select("u", F.col("m").alias("v"))
         )

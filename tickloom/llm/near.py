@@ -16,12 +16,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import hashing
 from tickloom.llm.components import components
-from tickloom.llm.tables import materialise, partitions
+from tickloom.llm.tables import free_name, materialise, partitions
 
 REGISTERS = 128
 SCALE = 1.02
@@ -335,13 +335,21 @@ def candidate_links(nodes: DataFrame, least: float) -> DataFrame:
         registers = np.frombuffer(b"".join(group["registers"].to_pylist()), np.uint16).reshape(group.num_rows, -1)
         return estimated_links(registers, group["n_shingles"].to_numpy(), least)
 
-    local = _grouped_links(tasks.select("__task", "node", "n_shingles", "registers"), link)
+    dealt = met.select("band", "members").distinct().agg(dealt_weight("members", BAND_BLOCK)).first()[0]
+    local = _grouped_links(tasks.select("__task", "node", "n_shingles", "registers"), link, dealt, BAND_BLOCK)
     return stars.unionByName(local)
 
 
-def _grouped_links(tasks: DataFrame, link) -> DataFrame:
+def dealt_weight(weight: str, block: int) -> Column:
+    """What ``in_blocks`` deals of all keys together: a key of several blocks stands once in each pair of them."""
+    return F.coalesce(F.sum(F.col(weight) * F.ceil(F.col(weight) / block)), F.lit(0))
+
+
+def _grouped_links(tasks: DataFrame, link, dealt: int, block: int) -> DataFrame:
+    """The links of all tasks, in as many partitions as their weight fills blocks, or as the session asks for."""
+    count = max(partitions(tasks), -(-int(dealt) // block))
     return (
-        tasks.repartition(partitions(tasks), "__task")
+        tasks.repartition(count, "__task")
         .sortWithinPartitions("__task")
         .mapInArrow(lambda batches: forest(batches, link), "u long, v long")
     )
@@ -360,7 +368,8 @@ def verified(docs: DataFrame, clusters: DataFrame, width: int, percent: int) ->
                     ["__task", "node", "shingles"],
                 )
 
-    weights = clusters.groupBy("component").agg(F.sum("n_shingles").alias("weight"))
+    weights = materialise(clusters.groupBy("component").agg(F.sum("n_shingles").alias("weight")), "weights")
+    dealt = weights.agg(dealt_weight("weight", CLUSTER_BLOCK)).first()[0]
     tasks = in_blocks(clusters.join(weights, "component"), "component", "weight", CLUSTER_BLOCK)
     texts = docs.select(F.col("doc_id").alias("node"), "text").filter(F.col("text").isNotNull())
     rows = texts.join(tasks.select("__task", "node"), "node").select("__task", "node", "text")
@@ -369,7 +378,7 @@ def verified(docs: DataFrame, clusters: DataFrame, width: int, percent: int) ->
     def link(group: pa.Table) -> list[tuple[int, int]]:
         return verified_links([np.frombuffer(s, np.uint64) for s in group["shingles"].to_pylist()], percent)
 
-    return _grouped_links(rows, link)
+    return _grouped_links(rows, link, dealt, CLUSTER_BLOCK)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -412,14 +421,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group of near copies, in all their columns.
 
-    The document with the smallest doc_id stays; of rows with an equal doc_id one stays. Rows without a
-    doc_id all stay.
+    Every row is a document of its own, also where doc_ids repeat or are texts. Of a group the row with the
+    smallest doc_id stays (one of them where several have it); rows that are like no other all stay, also those with an
+    equal doc_id, and so do texts without words (null, empty, blank) and rows without a doc_id. Texts of any length
+    count as a whole. An empty table gives an empty one, and columns of any name are kept.
     """
-    told = materialise(near_duplicates(docs, width, percent), "near")
-    ids = told.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("kept").alias("kept"))
-    kept = docs.join(ids.filter("kept").select("doc_id"), "doc_id", "left_semi")
-    several = ids.filter("doc_id IS NOT NULL AND kept AND rows > 1").select("doc_id")
-    if several.limit(1).count():
-        once = kept.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        kept = kept.join(several, "doc_id", "left_anti").unionByName(once)
-    return kept.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+    row = free_name(docs, "row")
+    rows = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    named = rows.filter(F.col("doc_id").isNotNull())
+    told = near_duplicates(named.select(F.col(row).alias("doc_id"), "text"), width, percent)
+    groups = materialise(told.select(F.col("doc_id").alias(row), "component_id"), "near")
+    several = groups.groupBy("component_id").agg(F.count("*").alias("n")).filter("n > 1").select("component_id")
+    members = groups.join(several, "component_id", "left_semi").join(rows.select(row, "doc_id"), row)
+    first = members.groupBy("component_id").agg(F.min_by(row, F.struct("doc_id", row)).alias(row)).select(row)
+    gone = members.select(row).join(first, row, "left_anti")
+    return rows.join(gone, row, "left_anti").select(*docs.columns)
