@@ -78,7 +78,8 @@ def mix(sized: DataFrame, targets: DataFrame, seed: int = 0) -> DataFrame:
     the document is taken). The last document of a fraction enters if at least half of it is inside the
     budget. Rows with equal doc_id draw the same key; ties go by doc_id, size and source order of arrival,
     so repeated rows may swap places without changing the result. A column ``ROW`` of ``sized`` is kept.
-    An empty table gives an empty table.
+    Documents of size 0, such as null and empty texts, take part and count nothing; very long ones count whole. An
+    empty table gives an empty table.
     """
     weight = F.coalesce(F.col("quality").cast("double"), F.lit(1.0))
     key = F.when(weight > 0, -F.log(uniform(F.col("doc_id"), seed)) / weight).otherwise(F.lit(float("inf")))
@@ -117,11 +118,6 @@ def sized_documents(docs: DataFrame, size: Column, quality: DataFrame | None = N
     return materialise(sized, "sized")
 
 
-def numbered_rows(docs: DataFrame) -> DataFrame:
-    """``docs`` written once with a number of each row as column ``ROW``, for ``mix`` and ``repeat_documents``."""
-    return materialise(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered-rows")
-
-
 def repeat_documents(docs: DataFrame, times: DataFrame) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as ``times`` (of ``mix``) says.
 
@@ -138,6 +134,22 @@ def repeat_documents(docs: DataFrame, times: DataFrame) -> DataFrame:
     return joined.withColumn("__copy", copies).drop(name, "__copy")
 
 
+def mixed_corpus(docs: DataFrame, size: Column, quality: DataFrame | None = None, seed: int = 0) -> DataFrame:
+    """``docs`` mixed with cycling weights and a budget of all its words: every row as often as the mix takes it.
+
+    Rows are written once with a number of their own, so rows without a doc_id, or with an equal one, are decided one by
+    one. Columns of any name and type are kept. ``size`` is an expression over ``docs``; with ``count_words`` a
+    null or empty text has size 0, counts nothing, and is taken as its source's epochs have it. An empty table
+    gives an empty one.
+    """
+    document = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")
+    # Only names of its own beside the document, whatever its columns are called.
+    rows = materialise(docs.select(document, size.alias("size"), F.monotonically_increasing_id().alias(ROW)), "numbered-rows")
+    told = rows.select(F.col("document.doc_id").alias("doc_id"), F.col("document.source").alias("source"), "size", ROW)
+    mixed = mix_documents(told, F.col("size"), quality, seed)
+    return repeat_documents(rows, mixed).select("document.*")
+
+
 def mix_documents(
     docs: DataFrame, size: Column, quality: DataFrame | None = None, seed: int = 0
 ) -> DataFrame:
@@ -153,7 +165,7 @@ __all__ = [
     "label_quality",
     "mix",
     "mix_documents",
-    "numbered_rows",
+    "mixed_corpus",
     "repeat_documents",
     "share_budget",
     "sized_documents",
