@@ -32,6 +32,8 @@ TAG_REST = re.compile(r"(?:\"[^\"]*\"|'[^']*'|[^'\">])*+>")
 CLOSING = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "noscript")}
 ROOT_TAG = re.compile(r"<html\b[^>]*", re.I)
 DECLARED = re.compile(r"\slang\s*=\s*[\"']?([a-z]{2,3})", re.I)
+#: Second-level names under which countries register domains (fixed values).
+SHARED_SUFFIXES = ["ac", "co", "com", "edu", "go", "gob", "gouv", "gov", "ltd", "mil", "ne", "net", "or", "org", "plc"]
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
 
@@ -158,12 +160,26 @@ def total(array: Column) -> Column:
     return F.aggregate(array, F.lit(0.0), lambda s, x: s + x)
 
 
+def registered_domain(host: Column) -> Column:
+    """The domain a host is registered under: two labels, or three below a country's shared suffix (``co.uk``).
+
+    So all hosts of a site share their domain's counts; addresses made of numbers are domains of their own.
+    """
+    labels = F.split(host, r"\.")
+    count = F.size(labels)
+    shared = (F.length(F.element_at(labels, -1)) == 2) & F.get(labels, count - 2).isin(SHARED_SUFFIXES)
+    taken = F.when(shared, 3).otherwise(2)
+    name = F.array_join(F.slice(labels, F.greatest(count - taken + 1, F.lit(1)), taken), ".")
+    return F.when(host.rlike(r"^[0-9.]+$") | host.contains(":"), host).otherwise(name)
+
+
 def identify_languages(pages: DataFrame, docs: DataFrame) -> DataFrame:
     """Per page: page_id, declared, text_lang, lang and confidence (the posterior of ``lang``).
 
     A null page has no text and no declaration, a null address no suffix and host (pages without one share
-    a host of their own); then the other evidence decides. Repeated pages each count. If no document has a
-    language, lang is null. Other columns are not read.
+    a host of their own); then the other evidence decides. Repeated pages each count. Pages of any length are read
+    whole. Ties go to the first language by code point. If no document has a language, lang is null. Other columns are
+    not read. A host's counts lean on its domain's other hosts, whose own pages are not counted twice.
     """
     model = TextModel(count_trigrams(docs).orderBy("lang", "bucket").toArrow())
     langs = len(model.langs)
@@ -177,13 +193,16 @@ def identify_languages(pages: DataFrame, docs: DataFrame) -> DataFrame:
     host = F.nullif(F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), HOST, 1)), F.lit(""))
     labels = F.split(F.col("host"), r"\.")
     seen = seen.withColumn("host", host).withColumns(
-        {"domain": F.array_join(F.slice(labels, F.greatest(F.size(labels) - 2, F.lit(1)), 3), "."), "suffix": F.element_at(labels, -1)}
+        {"domain": registered_domain(F.col("host")), "suffix": F.element_at(labels, -1)}
     )
     seen = materialise(seen, "pages")
     whole = seen.agg(*[F.sum(F.col("shares")[i]).alias(str(i)) for i in range(langs)]).first()
     everywhere = F.array(*[F.lit(float(x or 0.0)) for x in whole])
     for key, name in (("declared", "by_declared"), ("suffix", "by_suffix"), ("domain", "by_domain"), ("host", "by_host")):
         seen = with_counts(seen, key, langs, name)
+    # The domain speaks through its other hosts only: what the host holds is its own evidence, and counts once.
+    others = F.zip_with("by_domain", "by_host", lambda a, b: F.greatest(a - b, F.lit(0.0)))
+    seen = seen.withColumn("by_domain", others)
 
     def prior(counts: Column, above: Column) -> Column:
         """Counts smoothed towards the shares of the level above."""

@@ -100,14 +100,14 @@ def best_of_block(
 ) -> dict[str, np.ndarray]:
     """The ``k`` best rows of a block for each query, scored row by row so that equal vectors score alike.
 
-    ``rows`` and ``own`` hold the vec_id and the mark of the rows and of the queries.
+    ``rows`` and ``own`` hold the vec_id and the mark, a row's number, of the rows and of the queries.
     """
     (ids, marks), (own_ids, own_marks) = rows, own
     out: dict[str, list[np.ndarray]] = {"query_id": [], "query_mark": [], "vec_id": [], "mark": [], "score": []}
     for begin in range(0, len(queries), 256):
-        asked, asking = queries[begin : begin + 256], own_ids[begin : begin + 256]
+        asked, asking = queries[begin : begin + 256], own_marks[begin : begin + 256]
         scores = asked @ data.T
-        scores[asking[:, None] == ids[None, :]] = -np.inf
+        scores[asking[:, None] == marks[None, :]] = -np.inf
         take = min(k, len(ids))
         kth = np.partition(scores, len(ids) - take, axis=1)[:, len(ids) - take]
         slack = 1e-9 * (1 + np.abs(kth))
@@ -116,8 +116,8 @@ def best_of_block(
             at = np.flatnonzero(chosen)
             exact = (data[at] * asked[i]).sum(axis=1)
             order = np.lexsort((marks[at], ids[at], -exact))[:k]
-            out["query_id"].append(np.full(len(order), asking[i]))
-            out["query_mark"].append(np.full(len(order), own_marks[begin + i]))
+            out["query_id"].append(np.full(len(order), own_ids[begin + i]))
+            out["query_mark"].append(np.full(len(order), asking[i]))
             out["vec_id"].append(ids[at][order])
             out["mark"].append(marks[at][order])
             out["score"].append(exact[order])
@@ -144,7 +144,7 @@ def true_neighbours(
             if len(data):
                 yield from pa.table(best_of_block(data, keys_of(table), queries, own, k)).to_batches()
 
-    order = Window.partitionBy("query_id", "query_mark").orderBy(F.desc("score"), "vec_id", "mark")
+    order = Window.partitionBy("query_mark").orderBy(F.desc("score"), "vec_id", "mark")
     found = rows.select("vec_id", "mark", "v").mapInArrow(run, FOUND)
     return found.withColumn("__rank", F.row_number().over(order)).filter(F.col("__rank") <= k).drop("__rank")
 
@@ -155,13 +155,14 @@ def nearest(
     """Per query: query_id, rank (from 1), vec_id and score (inner product) of the ``k`` best others found.
 
     ``is_query`` picks the queries by vec_id. Of equal vectors only the ``k + 1`` with the smallest vec_id
-    can appear in an answer, so no more are indexed; all of them are queries if chosen. Rows with the query's
-    vec_id are no candidates for it; several query rows of one vec_id are ranked together. Fewer rows than ``k``
-    are all returned; without queries or rows the result is empty.
+    can appear in an answer, so no more are indexed; all of them are queries if chosen. Every row but the query's own
+    is a candidate, repeated rows and others of its vec_id too, and every query row is answered by itself. Vectors of
+    fewer components are filled with zeros. Fewer rows than ``k`` are all returned; without queries or rows the
+    result is empty.
     """
     spark = table.sparkSession
-    every = materialise(usable(table, nonzero=True).withColumn("mark", F.xxhash64("v")), "vectors")  # (vec_id, mark) is a row
-    copies = Window.partitionBy("v").orderBy("vec_id")
+    every = materialise(usable(table, nonzero=True).withColumnRenamed("row", "mark"), "vectors")
+    copies = Window.partitionBy("v").orderBy("vec_id", "mark")
     rows = every.withColumn("__copy", F.row_number().over(copies)).filter(F.col("__copy") <= k + 1).drop("__copy")
     rows = materialise(rows, "indexed")
     asking = every.filter(is_query)
@@ -236,4 +237,5 @@ def nearest(
     asked = asked.toDF(*asked.columns)  # columns of its own: both sides come from one table
     task = ("curve", "block", "part")
     found = stored.groupBy(*task).cogroup(asked.groupBy(*task)).applyInArrow(search, FOUND)
-    return best(found.groupBy("query_id", "query_mark", "vec_id", "mark").agg(F.max("score").alias("score")), k)
+    once = found.groupBy("query_id", F.col("query_mark").alias("query_row"), "vec_id", "mark").agg(F.max("score").alias("score"))
+    return best(once, k)

@@ -24,7 +24,7 @@ EXACT_IN_DOUBLE = 2**53
 def threshold_search(
     rows: np.ndarray, ids: np.ndarray, lists: np.ndarray, query: np.ndarray, own: int, k: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, scores) of the ``k`` best rows for a query, ties to smaller ids; ``own`` is left out.
+    """(ids, scores) of the ``k`` best rows for a query, ties to smaller ids; the row at place ``own`` is left out.
 
     ``lists[d]`` orders the rows by component d, rising. The walk deepens twofold; it ends once the k-th
     score is above the bound for unseen rows. Equal is not enough, as ties go by id.
@@ -43,7 +43,7 @@ def threshold_search(
             reached[d] = rows[part[0] if query[d] > 0 else part[-1], d]
         new = np.flatnonzero(seen & ~before) if len(used) else np.arange(count)
         scores = rows[new] @ query
-        keep = ids[new] != own
+        keep = new != own
         top_ids = np.concatenate((top_ids, ids[new][keep]))
         top_scores = np.concatenate((top_scores, scores[keep]))
         order = np.lexsort((top_ids, -top_scores))[:k]
@@ -58,9 +58,9 @@ def exact_top_k(table: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     """Per query: query_id, rank (from 1), vec_id and score of its ``k`` best other rows.
 
     Scores are inner products of the components floor(1024 * x), as whole numbers; ties go to the smaller
-    vec_id. ``is_query`` picks the queries by vec_id. Rows with the query's vec_id are no candidates for it;
-    several query rows of one vec_id are ranked together, as in the check SQL. Fewer rows than ``k`` are all returned; without
-    queries or rows the result is empty. Vectors of fewer components are filled with zeros.
+    vec_id. ``is_query`` picks the queries by vec_id. Every row but the query's own is a candidate, repeated rows and
+    others of its vec_id too, and every query row is answered by itself. Fewer rows than ``k`` are all returned;
+    without queries or rows the result is empty. Vectors of fewer components are filled with zeros.
     """
     rows = materialise(usable(table, "long"), "whole-vectors")
     size = rows.agg(
@@ -71,22 +71,27 @@ def exact_top_k(table: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     def to_all(count: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(max(1, count) - 1)))
 
-    shard = F.pmod(F.xxhash64("vec_id"), F.lit(max(1, shards))).cast("int")
-    block = F.pmod(F.xxhash64(F.lit(3), "vec_id"), F.lit(max(1, blocks))).cast("int")
-    left = rows.select(shard.alias("shard"), to_all(blocks).alias("block"), "vec_id", "v")
-    right = rows.filter(is_query).select(to_all(shards).alias("shard"), block.alias("block"), "vec_id", "v")
+    shard = F.pmod(F.xxhash64("row"), F.lit(max(1, shards))).cast("int")
+    block = F.pmod(F.xxhash64(F.lit(3), "row"), F.lit(max(1, blocks))).cast("int")
+    left = rows.select(shard.alias("shard"), to_all(blocks).alias("block"), "row", "vec_id", "v")
+    right = rows.filter(is_query).select(to_all(shards).alias("shard"), block.alias("block"), "row", "vec_id", "v")
+
+    right = right.toDF(*right.columns)  # columns of its own: both sides come from one table
 
     def search(stored: pa.Table, asked: pa.Table) -> pa.Table:
-        out = {"query_id": [], "vec_id": [], "score": []}
+        out = {"query_id": [], "query_row": [], "vec_id": [], "score": []}
         if stored.num_rows and asked.num_rows and dims:
             data, queries = (matrix(t["v"], dims, np.int64) for t in (stored, asked))
             if float(np.abs(data).max()) * float(np.abs(queries).max()) * dims < EXACT_IN_DOUBLE:
                 data, queries = data.astype(np.float64), queries.astype(np.float64)
             lists = np.argsort(data.T, axis=1, kind="stable")
             ids = stored["vec_id"].to_numpy()
-            for own, query in zip(asked["vec_id"].to_pylist(), queries, strict=True):
-                found, scores = threshold_search(data, ids, lists, query, own, k)
-                out["query_id"] += [own] * len(found)
+            place = {row: at for at, row in enumerate(stored["row"].to_pylist())}
+            asking = zip(asked["vec_id"].to_pylist(), asked["row"].to_pylist(), queries, strict=True)
+            for query_id, row, query in asking:
+                found, scores = threshold_search(data, ids, lists, query, place.get(row, -1), k)
+                out["query_id"] += [query_id] * len(found)
+                out["query_row"] += [row] * len(found)
                 out["vec_id"] += found.tolist()
                 out["score"] += scores.astype(np.int64).tolist()
         kinds = pa.schema([(name, pa.int64()) for name in out])
@@ -95,6 +100,6 @@ def exact_top_k(table: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     found = (
         left.groupBy("shard", "block")
         .cogroup(right.groupBy("shard", "block"))
-        .applyInArrow(search, "query_id long, vec_id long, score long")
+        .applyInArrow(search, "query_id long, query_row long, vec_id long, score long")
     )
     return best(found, k)

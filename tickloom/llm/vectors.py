@@ -21,18 +21,17 @@ def finite(table: DataFrame, *columns: Column | str) -> DataFrame:
 
 
 def usable(table: DataFrame, component: str = "double", nonzero: bool = False) -> DataFrame:
-    """Rows (vec_id, v) of an embeddings table whose vector can be compared.
+    """Rows (row, vec_id, v) of an embeddings table whose vector can be compared; write them before use.
 
     Vectors that are null or hold null or non-finite components are left out, also zero ones if
-    ``nonzero``; so are rows without a vec_id. Every distinct (vec_id, vector) counts, and counts once.
+    ``nonzero``; so are rows without a vec_id. Every row counts, also repeated ones: ``row`` tells them apart.
     """
     rows = finite(table)
     if nonzero:
         rows = rows.filter(F.exists("v", lambda x: x != 0))
-    rows = rows.dropDuplicates(["vec_id", "v"])
     if component != "double":
         rows = rows.withColumn("v", F.transform("v", lambda x: F.floor(x * 1024)))
-    return rows
+    return rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", "v")
 
 
 def matrix(column: pa.ChunkedArray, width: int, kind: type) -> np.ndarray:
@@ -50,7 +49,7 @@ def matrix(column: pa.ChunkedArray, width: int, kind: type) -> np.ndarray:
 
 
 def best(found: DataFrame, k: int) -> DataFrame:
-    """The ``k`` best rows (query_id, vec_id, score) of each query, ties to the smaller vec_id, ranked from 1."""
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    """The ``k`` best rows (query_id, query_row, vec_id, score) of each query, ties to the smaller vec_id, ranked from 1."""
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
