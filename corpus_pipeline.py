@@ -1,4 +1,10 @@
-"""A corpus pipeline: each stage works on all rows that the one before it kept."""
+"""A corpus pipeline: each stage works on all rows that the one before it kept.
+
+Every stage takes null, empty and very long texts, null and repeated doc_ids, repeated rows, ties, empty tables and further
+columns of any name; all but the last return the columns they were given. Rows are decided one by one. What each
+operator makes of such rows stands in its docstring: texts without words are never toxic, near copies or
+repeats, count nothing in the mix, and are packed as one end token.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,9 +35,7 @@ def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of the sources takes them."""
     quality = mixing.label_quality(tables.read(spark, sf_dir, "labels"))
-    columns, docs = docs.columns, mixing.numbered_rows(docs)
-    mixed = mixing.mix_documents(docs, tables.count_words(F.col("text")), quality, MIX_SEED)
-    return mixing.repeat_documents(docs, mixed).select(*columns)
+    return mixing.mixed_corpus(docs, tables.count_words(F.col("text")), quality, MIX_SEED)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
