@@ -183,15 +183,23 @@ rolled AS (
   FROM bars
   WINDOW w AS (PARTITION BY stock ORDER BY CAST(bar_start AS DATE) RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)
 )
-SELECT DISTINCT stock, CAST(day AS TIMESTAMP) AS day, n, round(intercept, 3) AS intercept, round(slope, 4) AS slope FROM rolled"""
+SELECT DISTINCT stock, CAST(day AS TIMESTAMP) AS day, n,
+       CASE WHEN round(intercept, 3) = 0 THEN 0.0 ELSE round(intercept, 3) END AS intercept, round(slope, 4) AS slope
+FROM rolled"""
 )
 
 
 def _rolling_models(moments: DataFrame) -> DataFrame:
     rolled = model.rolling_moments(moments, ["stock"], "day", 7)
     models = model.models_of_moments(rolled, ["stock", "day"], ["high"])
+    intercept = F.round("intercept", 3)
     return models.select(
-        "stock", F.col("day").cast("timestamp_ntz").alias("day"), "n", F.round("intercept", 3).alias("intercept"), F.round("coef_high", 4).alias("slope")
+        "stock",
+        F.col("day").cast("timestamp_ntz").alias("day"),
+        "n",
+        # A zero has no sign here.
+        F.when(intercept == 0, 0.0).otherwise(intercept).alias("intercept"),
+        F.round("coef_high", 4).alias("slope"),
     )
 
 
