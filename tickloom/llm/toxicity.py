@@ -1,12 +1,14 @@
 """Toxicity by compression distance: which of two zstandard dictionaries compresses a text's windows better.
 
-The ordinary dictionary is trained on windows of ordinary text. The toxic one is the same material followed
-by what the toxic samples have and the ordinary ones lack: spans of words whose character grams stand in
-significantly more toxic samples. As both share the ordinary part, a window's two lengths differ only by
-what the toxic part saves. A logistic curve, fitted on samples that the dictionaries have not seen, turns a
-document's window differences into a score; the decision threshold stands on that calibrated scale.
-
-Fitting uses a bounded sample of labelled rows; scoring reads every whole text, and each row on its own.
+One dictionary is trained on windows of ordinary text, the other on what the toxic samples have and the ordinary
+ones lack: spans of words whose character grams stand in significantly more toxic samples. A window is compressed
+with the ordinary dictionary and with both; zero bytes in place of the toxic one keep sizes and distances equal,
+so that the two lengths differ only by what the toxic dictionary saves. A logistic curve turns a document's
+window differences into a score; the decision threshold stands on that calibrated scale. The curve is fitted on
+differences that dictionaries of the other folds gave; the final dictionaries learn from all folds.
+
+Fitting uses a bounded sample of labelled rows, a Spark task for each fold; scoring reads every whole text, and
+each row on its own.
 """
 
 import math
@@ -17,16 +19,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tickloom.llm.hashing import slices
 from tickloom.llm.tables import free_name
 
-#: Bounds of the fitting sample: rows of each label, and bytes of each text (longer ones are not sampled).
+#: Bounds of the fitting sample: rows of each label, bytes of each text (longer ones are not sampled), and bytes
+#: of all texts of a label (in the order of the draw, rows beyond are left out).
 FIT_ROWS = 2_000
-FIT_BYTES = 65_536
+FIT_TEXT_BYTES = 2 << 20
+FIT_BYTES = 8 << 20
+#: Folds of the sample, near copies together; a part of the fit for each, and one for all.
+FOLDS = 3
 WINDOW, STEP = 6, 3
 #: Lengths of the grams that may tell samples apart; the shortest is the shortest match of the dictionaries.
 GRAMS = (5, 8)
@@ -166,9 +173,9 @@ def toxic_grams(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> set[by
     return found
 
 
-def toxic_spans(toxic: list[list[bytes]], grams: set[bytes]) -> bytes:
-    """All parts of words that toxic grams cover, the most frequent last (nearest to the text)."""
-    spans: Counter[bytes] = Counter()
+def toxic_spans(toxic: list[list[bytes]], grams: set[bytes]) -> list[bytes]:
+    """All parts of words that toxic grams cover, as often and in the order in which they occur."""
+    spans = []
     for words in toxic:
         for word in words:
             p = b" " + word + b" "
@@ -178,12 +185,22 @@ def toxic_spans(toxic: list[list[bytes]], grams: set[bytes]) -> bytes:
                 if length:
                     if i > end:
                         if end > 0:
-                            spans[p[begin:end]] += 1
+                            spans.append(p[begin:end])
                         begin = i
                     end = max(end, i + length)
             if end > 0:
-                spans[p[begin:end]] += 1
-    return b"".join(sorted(spans, key=lambda span: (spans[span], span)))
+                spans.append(p[begin:end])
+    return spans
+
+
+def toxic_content(spans: list[bytes]) -> bytes:
+    """A dictionary trained on the spans, with room for each several times, and before it those that training left out."""
+    distinct = sorted(set(spans))
+    try:
+        trained = zstandard.train_dictionary(512 + 4 * sum(map(len, distinct)), spans, k=256, d=8).as_bytes()
+    except zstandard.ZstdError:  # too few spans to train on
+        trained = b""
+    return b"".join(span for span in distinct if span not in trained) + trained
 
 
 def ordinary_content(ordinary: list[list[bytes]]) -> bytes:
@@ -196,10 +213,10 @@ def ordinary_content(ordinary: list[list[bytes]]) -> bytes:
 
 
 class Compressors:
-    """Both dictionaries, as lengths of a window."""
+    """Lengths of a window under the ordinary dictionary alone, and under both."""
 
     def __init__(self, ordinary: bytes, toxic: bytes):
-        # Zero bytes keep the distances of the shared part equal.
+        # Zero bytes keep the distances of the ordinary part equal.
         self.pair = [self.compressor(ordinary + end) for end in (bytes(len(toxic)), toxic)]
 
     @staticmethod
@@ -243,21 +260,69 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
     return w
 
 
+def folds_of(samples: list[list[bytes]]) -> np.ndarray:
+    """The fold of each sample, by families where there are enough of them."""
+    families, place = np.unique(families_of(samples), return_inverse=True)
+    return (place if len(families) >= FOLDS else np.arange(len(samples))) % FOLDS
+
+
+def fit_part(part: int, texts: list[list[str]]) -> tuple[list[bytes], list[tuple[int, list[float]]]]:
+    """What one part of the fit gives, from distinct toxic and ordinary texts.
+
+    The dictionaries, learned from all folds but ``part``; and for the samples of that fold their label and their
+    features under these dictionaries. Nothing where a label has no sample to learn from.
+    """
+    samples = [[words_of(t) for t in some] for some in texts]
+    folds = [folds_of(some) for some in samples]
+    learn = [[s for s, f in zip(some, of, strict=True) if f != part] for some, of in zip(samples, folds, strict=True)]
+    if not all(learn):
+        return [], []
+    contents = [ordinary_content(learn[1]), toxic_content(toxic_spans(learn[0], toxic_grams(*learn)))]
+    compressors = Compressors(*contents)
+    checked = [
+        (label, compressors.features(s))
+        for label, some, of in zip((1, 0), samples, folds, strict=True)
+        for s, f in zip(some, of, strict=True)
+        if f == part
+    ]
+    return contents, checked
+
+
+FITTED = T.StructType([
+    T.StructField("part", T.IntegerType()),
+    T.StructField("contents", T.ArrayType(T.BinaryType())),
+    T.StructField("sampled", T.ArrayType(T.LongType())),
+    T.StructField("checked", T.ArrayType(T.IntegerType())),
+    T.StructField("features", T.ArrayType(T.ArrayType(T.DoubleType()))),
+])
+
+
+def fit_group(sample: pa.Table) -> pa.Table:
+    """One part of the fit as a row; the group is the whole sample, which is bounded."""
+    kinds = sample["toxic"].to_pylist()
+    rows = list(zip(sample["text"].to_pylist(), kinds, strict=True))
+    texts = [sorted({t for t, k in rows if k == label}) for label in (1, 0)]
+    part = sample["part"][0].as_py()
+    contents, checked = fit_part(part, texts) if min(map(len, texts)) >= FOLDS else ([], [])
+    columns = {
+        "part": [part],
+        "contents": [contents if part == FOLDS else []],
+        "sampled": [[len(some) for some in texts]],
+        "checked": [[label for label, _ in checked]],
+        "features": [[values for _, values in checked]],
+    }
+    return pa.table(columns, to_arrow_schema(FITTED))
+
+
 class Model:
-    def __init__(self, toxic: list[str], ordinary: list[str]):
-        """Fit on distinct sampled texts; every third of each label is kept for the calibration."""
-        samples = [[words_of(t) for t in dict.fromkeys(texts)] for texts in (toxic, ordinary)]
-        self.base = (len(samples[0]) + 0.5) / (len(samples[0]) + len(samples[1]) + 1)
+    def __init__(self, contents: list[bytes], sampled: list[int], checked: list[int], features: list[list[float]]):
+        """Calibrate on features that dictionaries of other samples gave; without any, know the share of labels only."""
+        self.base = (sampled[0] + 0.5) / (sum(sampled) + 1)
         self.weights = None
-        if min(map(len, samples)) < 3:
+        if not contents or len(set(checked)) < 2:
             return
-        learn = [[s for i, s in enumerate(some) if i % 3] for some in samples]
-        check = [[s for i, s in enumerate(some) if not i % 3] for some in samples]
-        content = toxic_spans(learn[0], toxic_grams(*learn))
-        self.contents = ordinary_content(learn[1]), content
-        compressors = Compressors(*self.contents)
-        x = np.array([compressors.features(s) for some in check for s in some])
-        y = np.repeat([1.0, 0.0], [len(check[0]), len(check[1])])
+        self.contents = tuple(contents)
+        x, y = np.array(features), np.array(checked, float)
         self.middle, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-9
         self.weights = logistic((x - self.middle) / self.scale, y)
 
@@ -277,26 +342,34 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 3 == 1
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fit on at most ``FIT_ROWS`` rows per label that are not held out, drawn by a hash of their doc_id.
+def draw(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The fitting sample: text and label of rows that are not held out, drawn by a hash of their doc_id.
 
-    Rows with a null label or text are not sampled; of several labels the highest counts.
+    Rows with a null label or text are not sampled; of several labels the highest counts, of several texts the
+    least.
     """
-    told = labels.filter(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
-    told = told.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    sizes = docs.filter(F.octet_length("text") <= FIT_BYTES).select("doc_id")
-    drawn = told.join(sizes, "doc_id", "left_semi")
-    parts = [
-        drawn.filter(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
-        for value in (1, 0)
-    ]
-    chosen = F.broadcast(parts[0].unionByName(parts[1]))  # bounded by FIT_ROWS
-    texts = docs.select("doc_id", "text").filter(F.octet_length("text") <= FIT_BYTES).join(chosen, "doc_id")
-    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
-    rows = texts.orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
-    kinds = rows["toxic"].to_pylist()
-    sampled = rows["text"].to_pylist()
-    return Model(*[[t for t, k in zip(sampled, kinds, strict=True) if k == value] for value in (1, 0)])
+    told = labels.filter(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "toxic")
+    short = docs.select("doc_id", "text").filter(F.octet_length("text") <= FIT_TEXT_BYTES)
+    sizes = short.select("doc_id", F.octet_length("text").alias("bytes"))
+    drawn = told.join(sizes, "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("bytes").alias("bytes"))
+    order = F.xxhash64("doc_id"), F.col("doc_id")
+    parts = [drawn.filter(F.col("toxic") == value).orderBy(*order).limit(FIT_ROWS) for value in (1, 0)]
+    so_far = F.sum("bytes").over(Window.partitionBy("toxic").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    chosen = parts[0].unionByName(parts[1]).withColumn("bytes", so_far).filter(F.col("bytes") <= FIT_BYTES)
+    texts = short.join(F.broadcast(chosen.drop("bytes")), "doc_id")  # bounded by FIT_ROWS
+    return texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").cast("int").alias("toxic"))
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """Fit on the bounded sample of ``draw``; tasks learn from its texts, the driver sees features and dictionaries."""
+    parts = F.explode(F.array(*[F.lit(part) for part in range(FOLDS + 1)])).alias("part")
+    sample = draw(docs, labels).select(parts, "text", "toxic")
+    rows = sorted(sample.groupBy("part").applyInArrow(fit_group, FITTED).collect(), key=lambda row: row["part"])
+    if not rows:
+        return Model([], [0, 0], [], [])
+    checked = [label for row in rows for label in row["checked"]]
+    features = [values for row in rows for values in row["features"]]
+    return Model([bytes(c) for c in rows[-1]["contents"]], rows[-1]["sampled"], checked, features)
 
 
 def with_scores(docs: DataFrame, model: Model, name: str) -> DataFrame:
