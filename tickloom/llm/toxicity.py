@@ -4,7 +4,7 @@ One dictionary is trained on windows of ordinary text, the other on what the tox
 ones lack: spans of words whose character grams stand in significantly more toxic samples. A window is compressed
 with the ordinary dictionary and with both; zero bytes in place of the toxic one keep sizes and distances equal,
 so that the two lengths differ only by what the toxic dictionary saves. A logistic curve turns a document's
-window differences into a score; the decision threshold stands on that calibrated scale. The curve is fitted on
+window differences into a score, shifted so that 0.7 is the calibrated threshold. Curve and threshold are fitted on
 differences that dictionaries of the other folds gave; the final dictionaries learn from all folds.
 
 Fitting uses a bounded sample of labelled rows, a Spark task for each fold; scoring reads every whole text, and
@@ -33,7 +33,9 @@ FIT_ROWS = 2_000
 FIT_TEXT_BYTES = 2 << 20
 FIT_BYTES = 8 << 20
 #: Folds of the sample, near copies together; a part of the fit for each, and one for all.
-FOLDS = 3
+FOLDS = 5
+#: The threshold has the best F1 on out-of-fold samples among those that flag at most this share of ordinary ones.
+FALSE_SHARE = 0.01
 WINDOW, STEP = 6, 3
 #: Lengths of the grams that may tell samples apart; the shortest is the shortest match of the dictionaries.
 GRAMS = (5, 8)
@@ -314,6 +316,18 @@ def fit_group(sample: pa.Table) -> pa.Table:
     return pa.table(columns, to_arrow_schema(FITTED))
 
 
+def best_cut(z: np.ndarray, y: np.ndarray) -> float | None:
+    """The cut between values of ``z`` with the best F1 for ``y`` that flags few of the others; None if none does."""
+    order = np.argsort(-z, kind="stable")
+    z, y = z[order], y[order]
+    hits = np.cumsum(y)
+    flagged = np.arange(1, len(y) + 1)
+    score = 2 * hits / (flagged + y.sum())
+    score[(np.append(z[:-1] <= z[1:], False)) | (flagged - hits > FALSE_SHARE * (len(y) - y.sum()))] = 0
+    at = int(score.argmax())
+    return float(z[at : at + 2].mean()) if score[at] else None
+
+
 class Model:
     def __init__(self, contents: list[bytes], sampled: list[int], checked: list[int], features: list[list[float]]):
         """Calibrate on features that dictionaries of other samples gave; without any, know the share of labels only."""
@@ -325,6 +339,9 @@ class Model:
         x, y = np.array(features), np.array(checked, float)
         self.middle, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-9
         self.weights = logistic((x - self.middle) / self.scale, y)
+        cut = best_cut((x - self.middle) / self.scale @ self.weights[:-1] + self.weights[-1], y)
+        if cut is not None:
+            self.weights[-1] += math.log(THRESHOLD / (1 - THRESHOLD)) - cut
 
     def compressors(self) -> "Compressors | None":
         return None if self.weights is None else Compressors(*self.contents)
