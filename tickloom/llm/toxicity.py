@@ -12,6 +12,7 @@ each row on its own.
 """
 
 import math
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -42,7 +43,7 @@ GRAMS = (5, 8)
 ORDINARY_BYTES = 65_536
 #: A gram counts as toxic if it is so many times as frequent in toxic samples, and not by chance: among all
 #: grams tested, of all samples together and of each group alike in words, so many pass by chance (expected).
-LIFT, CHANCE = 20.0, 1.0
+LIFT, CHANCE = 20.0, 0.1
 #: Samples count as copies of each other if so large a share of their three-word runs is common (estimated).
 COPY_SHARE, SKETCH = 0.4, 64
 #: Groups of the samples, and the frequent words that tell them apart.
@@ -205,9 +206,15 @@ def toxic_content(spans: list[bytes]) -> bytes:
     return b"".join(span for span in distinct if span not in trained) + trained
 
 
-def ordinary_content(ordinary: list[list[bytes]]) -> bytes:
-    """A dictionary of ordinary windows; of a long sample about 12 to 24, evenly spread, which bounds the training."""
+def ordinary_content(ordinary: list[list[bytes]], told: list[bytes]) -> bytes:
+    """A dictionary of ordinary windows without told spans, which would hide what the toxic dictionary saves.
+
+    Of a long sample about 12 to 24 windows, evenly spread, which bounds the training.
+    """
     windows = [w for words in ordinary for w in windows_of(words)[:: max(1, len(words) // (12 * STEP))]]
+    if told:
+        spans = re.compile(b"|".join(map(re.escape, sorted(set(told)))))
+        windows = [w for w in windows if not spans.search(w)]
     try:
         return zstandard.train_dictionary(ORDINARY_BYTES, windows, k=48, d=6).as_bytes()
     except zstandard.ZstdError:  # too few samples to train on: they are the dictionary
@@ -279,7 +286,8 @@ def fit_part(part: int, texts: list[list[str]]) -> tuple[list[bytes], list[tuple
     learn = [[s for s, f in zip(some, of, strict=True) if f != part] for some, of in zip(samples, folds, strict=True)]
     if not all(learn):
         return [], []
-    contents = [ordinary_content(learn[1]), toxic_content(toxic_spans(learn[0], toxic_grams(*learn)))]
+    told = toxic_spans(learn[0], toxic_grams(*learn))
+    contents = [ordinary_content(learn[1], told), toxic_content(told)]
     compressors = Compressors(*contents)
     checked = [
         (label, compressors.features(s))
