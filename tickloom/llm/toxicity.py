@@ -43,7 +43,7 @@ GRAMS = (5, 8)
 ORDINARY_BYTES = 65_536
 #: A gram counts as toxic if it is so many times as frequent in toxic samples, and not by chance: among all
 #: grams tested, of all samples together and of each group alike in words, so many pass by chance (expected).
-LIFT, CHANCE = 20.0, 0.1
+LIFT, CHANCE = 20.0, 0.25
 #: Samples count as copies of each other if so large a share of their three-word runs is common (estimated).
 COPY_SHARE, SKETCH = 0.4, 64
 #: Groups of the samples, and the frequent words that tell them apart.
