@@ -167,6 +167,22 @@ def test_a_hub_of_very_many_copies_is_one_component(spark, monkeypatch):
     assert got == {**{i: 3 for i in [3, *range(5, 900)]}, **{i: 1000 for i in range(1000, 1061)}}
 
 
+def test_a_round_over_few_nodes_writes_two_tables(spark, monkeypatch):
+    """Stars are seen as done without another round; before, this graph took three rounds of five tables."""
+    written = []
+    for module in (components, spread):
+        kept = module.materialise
+        monkeypatch.setattr(module, "materialise", lambda df, label, f=kept: written.append(label) or f(df, label))
+    edges = [(i, 0) for i in range(1, 40)] + [(50, i) for i in range(51, 60)] + [(59, 39)] + [(80, 80)]
+    found = components.components(spark.createDataFrame(edges, "u long, v long"))
+    assert {r["node"]: r["component"] for r in found.collect()} == {i: 0 for i in [*range(40), *range(50, 60)]}
+    assert written.count("known") <= 3 and len(written) == 2 * written.count("known")
+    written.clear()
+    done = components.components(spark.createDataFrame([(2, 1), (3, 1)], "u long, v long"))
+    assert sorted(map(tuple, done.collect())) == [(1, 1), (2, 1), (3, 1)]
+    assert written == ["edges", "known"]
+
+
 def test_fewer_buckets_than_the_bytes_ask_for(spark, docs_of):
     texts = corpus(3)
     tables_before = {t.name for t in spark.catalog.listTables()}

@@ -4,47 +4,54 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.tables import materialise
-from tickloom.operators.spread import attach_per_key
+from tickloom.operators import spread
 
 # Edges of one node that a join task handles.
 ROWS_PER_SLICE = 1_000_000
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-    return row["n"], row["h"]
+def _tied(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """Every edge (u, v) as (v, smallest neighbour of u)."""
+    tied = spread.attach_per_key(edges, least, ["u"], "n", rows_per_slice=ROWS_PER_SLICE)
+    return tied.select(F.col("v").alias("u"), F.col("m").alias("v"))
+
+
+def _tied_by_broadcast(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """The same for a table of smallest neighbours that fits a broadcast; no edge is shuffled."""
+    return edges.join(F.broadcast(least.select("u", "m")), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (u, v): the component is its smallest node.
 
-    Alternates two steps until nothing changes. In the first, each node ties its larger neighbours to the
-    smallest one it knows; in the second, its smaller ones. Both keep components, and end in stars. A node
-    with very many neighbours is reduced before it is shuffled, and ``attach_per_key`` broadcasts the smallest
-    neighbours or divides the rows of such a node over several tasks by their number.
+    Alternates two steps until all edges form stars. In the first, each node ties its larger neighbours to the
+    smallest one it knows; in the second, its smaller ones. Both keep components. A node with very many
+    neighbours is reduced before it is shuffled. Where the smallest neighbours fit a broadcast, a round writes
+    two tables and shuffles only sums and new edges; otherwise ``attach_per_key`` divides the rows of such a
+    node over several tasks by their number.
     """
     stars = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct()
     stars = materialise(stars, "edges")
-    known = _fingerprint(stars)
-    while known[0]:
+    while True:
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-        least = least.select("u", F.least("u", "m").alias("m"), "n")
-        large = attach_per_key(both, least, ["u"], "n", rows_per_slice=ROWS_PER_SLICE).filter("v > u")
-        large = large.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        large = materialise(large, "large")
-        # Every edge now runs from the larger to the smaller node.
-        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-        least = materialise(least, "least")
-        small = attach_per_key(large, least, ["u"], "n", rows_per_slice=ROWS_PER_SLICE)
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            least.select("u", F.col("m").alias("v"))
+        known = both.groupBy("u").agg(
+            F.least("u", F.min("v")).alias("m"), F.count("*").alias("n"), F.count_if(F.expr("v < u")).alias("smaller")
         )
-        stars = materialise(small.filter("u <> v").distinct(), "stars")
-        now = _fingerprint(stars)
-        if now == known:
+        known = materialise(known, "known")
+        # Stars are done: a node with a smaller neighbour has no other one.
+        if not known.agg(F.count_if(F.expr("smaller > 0 AND n > 1"))).first()[0]:
             break
-        known = now
+        least = known.select("u", "m", "n")
+        if spread.fits_broadcast(least):
+            tied, large = _tied_by_broadcast, _tied_by_broadcast(both.filter("v > u"), least).filter("u <> v")
+            least = large.groupBy("u").agg(F.min("v").alias("m"))
+        else:
+            tied, large = _tied, _tied(both.filter("v > u"), least).filter("u <> v").distinct()
+            large = materialise(large, "large")
+            least = materialise(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "least")
+        # Every edge now runs from the larger to the smaller node.
+        small = tied(large, least).unionByName(least.select("u", F.col("m").alias("v")))
+        stars = materialise(small.filter("u <> v").distinct(), "stars")
     return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
