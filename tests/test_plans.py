@@ -54,6 +54,14 @@ def test_per_symbol_values_are_broadcast_after_the_size_check(spark, folder):
     assert "BroadcastHashJoin" in plan and "Window" not in plan and "hashpartitioning" not in plan
 
 
+def test_returns_of_many_keys_shuffle_the_unmultiplied_rows_once(spark, folder, monkeypatch):
+    monkeypatch.setattr(spread.with_key_values, "__defaults__", (64, *spread.with_key_values.__defaults__[1:]))
+    plan = plan_of(QUERIES["returns_many_keys"](spark, folder))
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "SortAggregate" not in plan
+    # What is shuffled: the columns read, not yet series nor the structs that order them (_w0).
+    assert plan.index("Generate") < plan.index("Window") < plan.index("AS _w0") < plan.index("Exchange")
+
+
 def test_row_wise_work_has_no_shuffle(spark, folder):
     for name in ["market_open", "symbol_details_defaults", "html_profile", "date_formats", "quote_url"]:
         assert "AdaptiveSparkPlan" not in plan_of(QUERIES[name](spark, folder))

@@ -236,3 +236,30 @@ def test_salted_join_of_rows_with_maps(spark):
     for broadcast_rows in (0, 3, 100):
         got = spread.attach_per_key(rows, per_key, ["k"], "n", broadcast_rows=broadcast_rows, rows_per_slice=5)
         assert got.count() == 200 and got.filter("n IS NULL").count() == 0
+
+
+def test_values_of_many_keys_come_with_one_shuffle(spark):
+    """Few rows per key, one hot key and null keys: the same values on every path."""
+    rng = random.Random(5)
+    keys = [(None, 1), (None, None), (7, 7), *((i, i % 3) for i in range(300))]
+    rows = [(*k, n, float(rng.randrange(9))) for n, k in enumerate(rng.choices(keys, k=900) + [(7, 7)] * 400)]
+    df = spark.createDataFrame(rows, "a long, b long, n long, v double").repartition(5)
+    want = {}
+    for a, b, n, v in sorted(rows, key=lambda r: (r[3], r[2])):
+        want.setdefault((a, b), (n, v))
+    values = {"first": F.min_by("n", F.struct("v", "n")), "least": F.min("v")}
+    for buckets, per_slice in ((131_072, 5_000_000), (64, 5_000_000), (64, 100), (64, 1)):
+        got = spread.with_key_values(df, ["a", "b"], values, buckets, per_slice, rows_per_task=50).collect()
+        assert sorted(r["n"] for r in got) == [r[2] for r in rows]
+        assert {(r["a"], r["b"]): (r["first"], r["least"]) for r in got} == want
+
+
+def test_series_returns(spark, monkeypatch):
+    rows = [(1, 1, 5, 2.0, 0.0), (1, 2, 4, 4.0, 3.0), (1, 3, 4, 3.0, None), (2, 1, 1, None, 8.0), (2, 2, 2, 1.0, 4.0), (None, 1, 1, 2.0, 2.0)]
+    df = spark.createDataFrame(rows, "k long, id long, at long, x double, y double")
+    want = {(1, 1, "x"): -1 / 3, (1, 2, "x"): 1 / 3, (1, 3, "x"): 0.0, (2, 1, "y"): 0.0, (2, 2, "y"): -0.5, (None, 1, "x"): 0.0, (None, 1, "y"): 0.0}
+    for buckets in (131_072, 2):
+        monkeypatch.setattr(spread.with_key_values, "__defaults__", (buckets, *spread.with_key_values.__defaults__[1:]))
+        got = charts.series_returns(df, ["k"], ["at"], ["x", "y"])
+        assert got.columns == ["k", "id", "at", "series", "value", "return"]
+        assert {(r["k"], r["id"], r["series"]): r["return"] for r in got.collect()} == pytest.approx(want)

@@ -10,6 +10,7 @@ from tickloom.operators.spread import (
     ordered_chunks,
     row_numbers,
     running_total,
+    with_key_values,
 )
 from tickloom.schemas import PRICES
 from tickloom.storage import materialise
@@ -148,13 +149,24 @@ def box_summary(df: DataFrame, keys: list[str], value: str, whisker: float = 1.5
 def relative_returns(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
     """``value`` over the key's first value, minus one.
 
-    The first value is an aggregate joined back, not a window over a whole symbol.
+    The first value is an aggregate of the key that ``with_key_values`` adds, not a window over a whole symbol.
     """
-    first = df.groupBy(*keys).agg(
-        F.min_by(value, F.struct(*order)).alias("__first"), F.count("*").alias("__n")
-    )
-    joined = attach_per_key(df, first, keys, "__n")
-    return joined.withColumn("return", F.col(value) / F.col("__first") - 1).drop("__first", "__n")
+    joined = with_key_values(df, keys, {"__first": F.min_by(value, F.struct(*order))})
+    return joined.withColumn("return", F.col(value) / F.col("__first") - 1).drop("__first")
+
+
+def series_returns(df: DataFrame, keys: list[str], order: list[str], columns: list[str]) -> DataFrame:
+    """``columns`` as named series, each value with its return: over the first one of its key and series, minus one.
+
+    First is the least by ``order``, then by value. A series that starts at 0 or null has no returns and is left
+    out. The rows become several only after they have met, so that they cross the network once and unmultiplied.
+    """
+    firsts = {c: f"__first_{i}" for i, c in enumerate(columns)}
+    joined = with_key_values(df, keys, {f: F.min_by(c, F.struct(*order, c)) for c, f in firsts.items()})
+    each = [F.struct(F.lit(c).alias("series"), F.col(c).alias("value"), F.col(f).alias("__first")) for c, f in firsts.items()]
+    others = [c for c in df.columns if c not in columns]
+    series = joined.select(*others, F.inline(F.array(*each))).filter("__first <> 0")
+    return series.withColumn("return", F.col("value") / F.col("__first") - 1).drop("__first")
 
 
 #: Values a sketch keeps, and how far the rank of its quantiles may be off, as a share of all rows (99 % sure).

@@ -19,6 +19,10 @@ ROWS_PER_SLICE = 5_000_000
 ALL_SLICES = 32
 # Rows of one range partition.
 ROWS_PER_CHUNK = 20_000_000
+# Buckets of hashed keys in which rows are counted; half of them are filled by about as many keys as are broadcast.
+KEY_BUCKETS = 131_072
+# Rows that a task puts in order of their keys in memory.
+ROWS_PER_TASK = 2_000_000
 
 
 def key_of(keys: list[str]) -> Column:
@@ -84,6 +88,42 @@ def attach_per_key(
     return join_on_keys(salted, copies, keys + ["__salt"], how).drop("__salt")
 
 
+def with_key_values(
+    rows: DataFrame,
+    keys: list[str],
+    values: dict[str, Column],
+    key_buckets: int = KEY_BUCKETS,
+    rows_per_slice: int = ROWS_PER_SLICE,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Add ``values``, aggregates over all rows of a key, to each of its rows; a null in a key equals another null.
+
+    Rows are first counted per bucket of hashed keys. For few keys the values are a table that ``attach_per_key``
+    joins. For many, that table would be about as large as the rows and cross the network with them; instead the
+    rows are shuffled once on their keys, into tasks that hold them in memory. The keys of a bucket with more than
+    ``rows_per_slice`` rows are left out of that shuffle and joined.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(key_buckets))
+    counted = rows.groupBy(bucket.alias("__bucket")).agg(F.count("*").alias("__c"))
+    # Of all buckets only the hot ones are listed: at most one in ``rows_per_slice`` rows.
+    hot = F.collect_list(F.when(F.col("__c") > rows_per_slice, F.col("__bucket")))
+    filled, total, hot = counted.agg(F.count("*"), F.coalesce(F.sum("__c"), F.lit(0)), hot).first()
+
+    def joined(some: DataFrame) -> DataFrame:
+        per_key = some.groupBy(*keys).agg(*[v.alias(c) for c, v in values.items()], F.count("*").alias("__n"))
+        return attach_per_key(some, per_key, keys, "__n").drop("__n")
+
+    if filled <= key_buckets // 2:
+        return joined(rows)
+    asked = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    needed = -(-total // rows_per_task)
+    met = rows.filter(~bucket.isin(hot)) if hot else rows
+    # Shuffled here, as the window's own shuffle would also carry what the aggregates are made of.
+    met = met.repartition(*([needed] if needed > asked else []), *keys)
+    met = met.withColumns({c: v.over(Window.partitionBy(*keys)) for c, v in values.items()})
+    return met.unionByName(joined(rows.filter(bucket.isin(hot)))) if hot else met
+
+
 def range_partitions(df: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> list[int]:
     """How many range partitions the rows of ``df`` need, or nothing if the session's setting is enough."""
     asked = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -59,17 +59,11 @@ FROM series JOIN first USING (l_orderkey, l_linenumber, series) WHERE f <> 0"""
 )
 def returns_many_keys(spark: SparkSession, folder: str) -> DataFrame:
     """Every measure of every order line against the first of its key: several keys for a few rows each."""
-    return _returns(lines_unpivot(spark, folder))
-
-
-def _returns(series: DataFrame) -> DataFrame:
-    keys = ["l_orderkey", "l_linenumber", "series"]
-    order = ["l_shipdate", "l_partkey", "value"]
-    # A series that starts at 0 has no returns.
-    first = F.min_by("value", F.struct(*order))
-    started = series.groupBy(*keys).agg(first.alias("f")).filter("f <> 0").drop("f")
-    found = charts.relative_returns(series.join(started, keys, "left_semi"), keys, order, "value")
-    return found.select(*keys, "l_partkey", "value", F.round("return", 6).alias("return"))
+    keys, order = ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey"]
+    # The check joins on the keys, so rows with a null one are left out.
+    rows = _lines(spark, folder).select(*keys, *order, *_COLUMNS).dropna(subset=keys)
+    found = charts.series_returns(rows, keys, order, _COLUMNS)
+    return found.select(*keys, "series", "l_partkey", "value", F.round("return", 6).alias("return"))
 
 
 @query(
